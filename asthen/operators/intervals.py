@@ -113,12 +113,12 @@ def clamp_months(
     A null start covers nothing, a null end is open. Inverted intervals go as well.
     """
     lo, hi = as_month(lo), as_month(hi)
-    return (
-        df.filter(F.col(start).isNotNull())
-        .withColumn(first, F.greatest(month_of(F.col(start)), lo))
-        .withColumn(last, F.least(F.coalesce(month_of(F.col(end)), hi), hi))
-        .filter(F.col(first) <= F.col(last))
-    )
+    clamped = df.filter(F.col(start).isNotNull()).withColumns({
+        first: F.greatest(month_of(F.col(start)), lo),
+        # least ignores the null of an open end
+        last: F.least(month_of(F.col(end)), hi),
+    })
+    return clamped.filter(F.col(first) <= F.col(last))
 
 
 def expand_months(

@@ -9,11 +9,25 @@ by rule: padding, casing, blanks, copies, late syncs, unmatched codes, deletions
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
-TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+# Schemas are stated, so that no job runs just to infer them.
+TEST_TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+              "props string",
+}
 
 # A home that depends on the person only; a few are blank or unknown to the register.
 _HOME = """case when {id} % 97 = 0 then null when {id} % 101 = 0 then 'DW-unknown'
@@ -189,21 +203,17 @@ class Tables:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
             if name in TEST_TABLES:
-                self._built[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+                reader = self.spark.read.schema(TEST_TABLES[name])
+                self._built[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
             else:
                 sql = BASE[name].replace("{ntz}", "timestamp_ntz")
                 self._built[name] = self.spark.sql(sql, **{r: self[r] for r in references(sql)})
         return self._built[name]
 
-    def of(self, *names: str) -> Iterator[DataFrame]:
-        return (self[n] for n in names)
-
 
 def stream_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """The same views over the events read as a file stream."""
     tables = Tables(spark, sf_dir)
-    schema = tables["events"].schema
-    tables._built["events"] = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet").parquet(sf_dir)
-    )
+    reader = spark.readStream.schema(TEST_TABLES["events"]).option("pathGlobFilter", "events*.parquet")
+    tables._built["events"] = reader.parquet(sf_dir)
     return tables

@@ -21,7 +21,7 @@ from asthen.sources.tables import read_table, work_dir
 from asthen.streaming.rollup import write_generator_daily
 from bindings import HI, LO, RAW_TABLES, Tables, stream_tables
 
-AS_OF_FRESHNESS = datetime(2024, 2, 1)
+AS_OF_FRESHNESS = datetime(2024, 2, 8, 12)
 AS_OF_SNAPSHOT = datetime(2002, 1, 1)
 # The first incremental run saw what had been synced by then.
 FIRST_RUN = datetime(2024, 1, 20)
