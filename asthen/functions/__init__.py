@@ -6,6 +6,7 @@ from asthen.functions.columns import (
     clean_string,
     exact_mean,
     in_vocabulary,
+    moment,
     month_of,
     null_if_negative,
     rank_code,
@@ -21,6 +22,7 @@ __all__ = [
     "clean_string",
     "exact_mean",
     "in_vocabulary",
+    "moment",
     "month_of",
     "null_if_negative",
     "rank_code",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
@@ -79,6 +80,11 @@ def exact_mean(number: Column, digits: int, over: WindowSpec | None = None) -> C
     return F.round(total / F.nullif(n, F.lit(0)), digits)
 
 
+def moment(clock: datetime) -> Column:
+    """Literal zone-less time; F.lit(datetime) would be an instant, shown in the session's zone."""
+    return F.lit(clock.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def month_of(moment: Column) -> Column:
     """First day of the month, as a date; free of the session time zone."""
     return F.trunc(moment, "MM")

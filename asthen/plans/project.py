@@ -11,8 +11,8 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from asthen.functions import moment
 from asthen.operators.quality import Check, ends_before_start, freshness, report
 from asthen.plans import history, marts, staging
 from asthen.plans.rollup import refresh_generator_daily
@@ -134,7 +134,7 @@ def source_freshness(raw: Mapping[str, DataFrame], as_of: datetime) -> DataFrame
     """Freshness of the sources that declare a load time."""
     (source,) = [s for s in SOURCES.values() if s.loaded_at]
     return freshness(
-        raw[source.table], source.table, source.loaded_at, F.lit(as_of).cast("timestamp_ntz"),
+        raw[source.table], source.table, source.loaded_at, moment(as_of),
         source.warn_hours, source.error_hours,
     )
 
@@ -169,7 +169,7 @@ def run_project(
         path = table_path(root, model.layer, model.name)
         if model.stored == SNAPSHOT:
             table = HistoryTable(spark, path, "assignment_id", "updated_at")
-            table.snapshot(inputs[0], F.lit(as_of).cast("timestamp_ntz"))
+            table.snapshot(inputs[0], moment(as_of))
             df = table.read()
         elif model.stored == INCREMENTAL:
             df = refresh_generator_daily(inputs[0], path)

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asthen.functions import clean_string, safe_ratio, surrogate_key
+from asthen.functions import clean_string, moment, safe_ratio, surrogate_key
 from asthen.operators import history as incremental
 from asthen.operators import quality
 from asthen.operators.counts import distinct_counts
@@ -410,8 +410,8 @@ def sync_lag_profile(t):
 # --- incremental and history -------------------------------------------------------------
 
 
-def synced_by(t, moment):
-    return t["generator_readings"].filter(F.col("_synced_at") < F.lit(moment).cast("timestamp_ntz"))
+def synced_by(t, clock):
+    return t["generator_readings"].filter(F.col("_synced_at") < moment(clock))
 
 
 def first_run(t):
@@ -473,7 +473,7 @@ def scd2_first_load(t):
 def scd2_merge(t):
     return incremental.scd2_merge(
         scd2_first_load(t), t["assignments_after"], "assignment_id", "updated_at",
-        F.lit(AS_OF_SNAPSHOT).cast("timestamp_ntz"),
+        moment(AS_OF_SNAPSHOT),
     )
 
 

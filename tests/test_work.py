@@ -1,0 +1,93 @@
+"""Assignment months and staffing."""
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from conftest import rows, ts
+from pyspark.sql import functions as F
+
+from asthen.operators.counts import distinct_counts
+from asthen.plans import history, marts
+
+LO, HI = "2022-01-01", "2022-04-01"
+ASSIGNMENTS = ("assignment_id string, resident_id string, department_code string, role_title string, "
+               "shift_code string, started_at timestamp_ntz, ended_at timestamp_ntz, is_current boolean")
+DEPARTMENTS = "department_code string, department_name string, home_level int, establishment_headcount int"
+
+
+def assignments(spark, data):
+    return spark.createDataFrame([(*r[:5], ts(r[5]), ts(r[6]), r[6] is None) for r in data], ASSIGNMENTS)
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    work = assignments(spark, [
+        ("A1", "R1", "MECH", "Shadow", "DAY", "2022-01-15 08:00", None),
+        ("A2", "R1", "MECH", "Clerk", "NIGHT", "2021-06-01", "2022-02-01"),
+        ("A3", "R2", "RECYC", "Unclassified", "DAY", "2022-03-31", "2022-03-31 12:00"),
+        ("A4", "R2", "MECH", "Clerk", "DAY", "2022-05-10", None),
+        ("A5", "R3", "ARCH", "Unclassified", "SWING", "2022-03-02", "2022-03-20"),
+    ])
+    return work, spark.createDataFrame([("MECH", "Mechanical", 140, 2)], DEPARTMENTS)
+
+
+def test_assignment_months(small):
+    out = history.assignment_months(*small, LO, HI).withColumn("m", F.month("month_start"))
+    assert rows(out, "assignment_id", "m", "department_name", "is_unmapped_department") == [
+        ("A1", 1, "Mechanical", False), ("A1", 2, "Mechanical", False), ("A1", 3, "Mechanical", False),
+        ("A1", 4, "Mechanical", False), ("A2", 1, "Mechanical", False), ("A2", 2, "Mechanical", False),
+        ("A3", 3, "UNMAPPED", True), ("A5", 3, "UNMAPPED", True)]
+
+
+def test_staffing(small):
+    out = marts.department_monthly_staffing(*small, LO, HI).withColumn("m", F.month("month_start"))
+    got = [tuple(str(v) for v in r) for r in rows(
+        out, "m", "department_code", "department_name", "headcount", "assignment_count", "day_shift_headcount",
+        "swing_shift_headcount", "night_shift_headcount", "shadow_count", "headcount_variance",
+        "establishment_fill_rate", "is_understaffed", "is_unmapped_department")]
+    mech = ("Mechanical", "1")
+    assert got == [
+        ("1", "MECH", *mech, "2", "1", "0", "1", "1", "-1", "0.500", "True", "False"),
+        ("2", "MECH", *mech, "2", "1", "0", "1", "1", "-1", "0.500", "True", "False"),
+        ("3", "ARCH", "UNMAPPED", "1", "1", "0", "1", "0", "0", "None", "None", "None", "True"),
+        ("3", "MECH", *mech, "1", "1", "0", "0", "1", "-1", "0.500", "True", "False"),
+        ("3", "RECYC", "UNMAPPED", "1", "1", "1", "0", "0", "0", "None", "None", "None", "True"),
+        ("4", "MECH", *mech, "1", "1", "0", "0", "1", "-1", "0.500", "True", "False")]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_staffing_equals_distinct_counts_over_the_months(spark, seed):
+    """Overlaps, gaps, repeated ids, null codes and ids, inverted and outside periods."""
+    rng = random.Random(seed)
+    start = datetime(2021, 11, 1)
+
+    def some(values, nulls=0.1):
+        return None if rng.random() < nulls else rng.choice(values)
+
+    data = []
+    for i in range(400):
+        began = start + timedelta(days=rng.randrange(220))
+        ended = some([began + timedelta(days=rng.randrange(-20, 90))], 0.4)
+        data.append((some([f"A{i}", f"A{i // 2}"], 0.05), some(["R0", f"R{rng.randrange(25)}"]),
+                     some(["D0", "D1", "X"]), some(["Shadow", "Clerk"]), some(["DAY", "SWING", "NIGHT"]),
+                     str(began) if rng.random() > 0.05 else None, None if ended is None else str(ended)))
+    work = assignments(spark, data)
+    departments = spark.createDataFrame([("D0", "Zero", 1, 0), ("D1", None, 2, 7)], DEPARTMENTS)
+    months = history.assignment_months(work, departments, LO, HI)
+    keys = ["month_start", "department_code", "department_name"]
+    counted = months.groupBy(*keys).agg(
+        F.count_distinct("resident_id").alias("headcount"),
+        F.count_distinct("assignment_id").alias("assignment_count"),
+        *[F.count_distinct(F.when(F.col("shift_code") == code, F.col("resident_id"))).alias(name)
+          for name, code in marts.SHIFTS.items()],
+        F.count_distinct(F.when(F.col("role_title") == "Shadow", F.col("resident_id"))).alias("shadow_count"),
+        F.max("establishment_headcount").alias("establishment_headcount"),
+        F.bool_or("is_unmapped_department").alias("is_unmapped_department"),
+    )
+    out = marts.department_monthly_staffing(work, departments, LO, HI)
+    assert rows(out, *counted.columns) == rows(counted)
+
+    flat = distinct_counts(months, keys, "resident_id", "headcount",
+                           {n: F.col("shift_code") == c for n, c in marts.SHIFTS.items()})
+    assert rows(flat) == rows(counted, *flat.columns)
