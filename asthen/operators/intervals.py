@@ -14,10 +14,15 @@ from pyspark.sql import functions as F
 
 from asthen.functions import month_of
 
-# Rows of one key that a single task may order. A key above it is cut into days.
+# Rows of one key that a single task may order. A key above it is cut into slices of
+# time: days, hours or minutes, the finer the more rows it has.
 HOT_ROWS = 1_000_000
-# Slice of keys that are not cut, and of a cut key's events without a time.
-WHOLE, UNDATED = "0001-01-01", "9999-12-31"
+HOURS_ABOVE, MINUTES_ABOVE = 100, 10_000  # times HOT_ROWS
+# Length of a time's text up to the day, hour and minute.
+DAY, HOUR, MINUTE = 10, 13, 16
+# Slice of keys that are not cut, and of a cut key's events without a time; they sort
+# before and after all others.
+WHOLE, UNDATED = "", "~"
 
 ONE_MONTH = "interval 1 month"
 
@@ -34,34 +39,35 @@ def months_between(first: Column, last: Column) -> Column:
 
 
 def slice_hot_keys(events: DataFrame, key: str, at: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add `_slice`: the event's day for keys with more than hot_rows rows, else a constant.
+    """Add `_slice`: for keys with more than hot_rows rows the event's time, cut to the
+    day, hour or minute; one constant for all other keys.
 
-    At most rows / hot_rows keys can be hot, which bounds the broadcast list.
-    The slice depends on the row alone, so a recomputed task assigns it again.
+    At most rows / hot_rows keys can be hot, which bounds the broadcast list. The slice
+    depends on the row and the key's exact count, so a repeated task assigns it again.
     """
+    n = F.col("_rows")
+    length = F.when(n > hot_rows * MINUTES_ABOVE, MINUTE).when(n > hot_rows * HOURS_ABOVE, HOUR)
     hot = (
         events.groupBy(key)
         .agg(F.count("*").alias("_rows"))
-        .filter(F.col("_rows") > hot_rows)
-        .select(key, F.lit(True).alias("_hot"))
+        .filter(n > hot_rows)
+        .select(key, length.otherwise(DAY).alias("_length"))
     )
-    day = F.when(F.col("_hot"), F.coalesce(F.to_date(at), F.to_date(F.lit(UNDATED))))
+    cut = F.coalesce(F.substr(F.col(at).cast("string"), F.lit(1), F.col("_length")), F.lit(UNDATED))
     return (
         events.join(F.broadcast(hot), key, "left")
-        .withColumn("_slice", F.coalesce(day, F.to_date(F.lit(WHOLE))))
-        .drop("_hot")
+        .withColumn("_slice", F.when(F.col("_length").isNotNull(), cut).otherwise(WHOLE))
+        .drop("_length")
     )
 
 
 def slice_heads(sliced: DataFrame, key: str, at: str) -> DataFrame:
-    """Per day slice of a hot key: start of the next slice, and whether it is the first.
+    """Per slice of a hot key: start of the next slice, and whether it is the first.
 
-    Empty unless there are hot keys; holds at most one row per key and calendar day.
+    Empty unless there are hot keys; at most one row per hot key and slice of time.
     """
     heads = (
-        sliced.filter(F.col("_slice") != F.to_date(F.lit(WHOLE)))
-        .groupBy(key, "_slice")
-        .agg(F.min(at).alias("_head"))
+        sliced.filter(F.col("_slice") != WHOLE).groupBy(key, "_slice").agg(F.min(at).alias("_head"))
     )
     order = Window.partitionBy(key).orderBy("_slice")
     return heads.select(

@@ -103,7 +103,7 @@ class Check:
 
 
 def count_violations(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """(check, severity, violations) for all checks of one table.
+    """(check_name, severity, violations) for all checks of one table.
 
     Conditions on single rows share one pass over the table, whatever their number;
     a check that groups has its own.
@@ -113,7 +113,7 @@ def count_violations(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     if on_rows:
         one_pass = df.agg(*[F.count_if(c.row_condition()).alias(f"n{i}") for i, c in enumerate(on_rows)])
         lines = F.array(*[
-            F.struct(F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"),
+            F.struct(F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"),
                      F.col(f"n{i}").alias("violations"))
             for i, c in enumerate(on_rows)
         ])
@@ -121,14 +121,14 @@ def count_violations(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     for check in checks:
         if check not in on_rows:
             parts.append(check.violations(df).agg(
-                F.lit(check.name).alias("check"), F.lit(check.severity).alias("severity"),
+                F.lit(check.name).alias("check_name"), F.lit(check.severity).alias("severity"),
                 F.count("*").alias("violations"),
             ))
     return reduce(DataFrame.unionByName, parts)
 
 
 def report(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
-    """One line per check: check, severity, violations, status (pass, warn, error)."""
+    """One line per check: check_name, severity, violations, status (pass, warn, error)."""
     by_table: dict[str, list[Check]] = {}
     for check in checks:
         by_table.setdefault(check.table, []).append(check)

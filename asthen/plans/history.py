@@ -33,8 +33,8 @@ def dwelling_history(residents: DataFrame, relocations: DataFrame, hot_rows: int
     person lived where that move came from, since registration; who never moved lives
     in the current dwelling. Status and birth date are today's, not those of the period.
 
-    Moves are ordered per person, or per person and day where one person has very many,
-    and joined to the person on that same partitioning: one shuffle of the moves, and
+    Moves are ordered per person, or per person and slice of time where one person has
+    very many, and joined to the person on that same partitioning: one shuffle of the moves, and
     no task holds all moves of such a person. The first move yields two periods.
     """
     sliced = slice_hot_keys(relocations, "resident_id", "relocated_at", hot_rows)
@@ -48,12 +48,12 @@ def dwelling_history(residents: DataFrame, relocations: DataFrame, hot_rows: int
         F.lead("relocated_at").over(order).alias("_next"),
         F.row_number().over(order).alias("_nth"),
     )
-    # One row per person, or per person and day slice where the moves are sliced.
+    # One row per person, or per person and slice where the moves are sliced.
     heads = slice_heads(sliced, "resident_id", "relocated_at")
     people = (
         residents.select("resident_id", "dwelling_id", "registered_at", "resident_status", "birth_date")
         .join(heads, "resident_id", "left")
-        .withColumn("_slice", F.coalesce("_slice", F.to_date(F.lit(WHOLE))))
+        .withColumn("_slice", F.coalesce("_slice", F.lit(WHOLE)))
         .withColumn("_is_first_slice", F.coalesce("_is_first_slice", F.lit(True)))
     )
     both = people.join(

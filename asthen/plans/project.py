@@ -61,8 +61,10 @@ def close_before_open(orders: DataFrame) -> DataFrame:
     )
 
 
+# Models that shuffle and are read several times, by checks and by others, are stored
+# even where a view would do: a view is computed again for each reader.
 MODELS: tuple[Model, ...] = (
-    Model("stage_residents", "staging", ("residents",), staging.stage_residents, checks=_checks(
+    Model("stage_residents", "staging", ("residents",), staging.stage_residents, TABLE, _checks(
         "stage_residents", ["resident_id", "dwelling_id"], ["resident_id"], extra=[
             Check("stage_residents", "accepted_values", ("resident_status",),
                   options={"values": (*staging.STATUSES, staging.UNKNOWN_STATUS)})])),
@@ -84,13 +86,13 @@ MODELS: tuple[Model, ...] = (
           history.dwelling_history),
     Model("residents_by_level", "intermediate",
           ("stage_residents", "stage_dwellings", "stage_level_zones"),
-          history.residents_by_level, checks=_checks(
+          history.residents_by_level, TABLE, _checks(
               "residents_by_level", ["resident_id", "level_number", "zone_name"], ["resident_id"],
               extra=[Check("residents_by_level", "accepted_values", ("zone_name",),
                            options={"values": ZONES})])),
     Model("level_monthly_population", "intermediate",
           ("dwelling_history", "stage_dwellings", "stage_level_zones"),
-          history.level_monthly_population, checks=_checks(
+          history.level_monthly_population, TABLE, _checks(
               "level_monthly_population", ["month_start", "level_number", "active_residents"],
               grain=["month_start", "level_number"])),
     Model("assignment_months", "intermediate", ("stage_assignments", "stage_departments"),

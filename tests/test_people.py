@@ -146,7 +146,7 @@ def test_history_and_counts_equal_brute_force_with_and_without_hot_people(spark,
     dwellings = spark.createDataFrame([(d, lv, "FAMILY", 1) for d, lv in levels.items()], DWELLINGS)
     zones = spark.createDataFrame([(lv, "z", 1, False) for lv in range(4)], ZONES)
     expected = periods_by_hand(moves, people)
-    for hot_rows in (1_000_000, 20, 0):
+    for hot_rows in (1_000_000, 20, 1, 0):  # whole, days, hours, minutes
         out = history.dwelling_history(residents, relocations, hot_rows)
         got = rows(out, "resident_id", "dwelling_id", "valid_from", "valid_to", "resident_status")
         assert sorted(map(str, got)) == sorted(map(str, expected)), hot_rows
@@ -160,7 +160,9 @@ def test_event_intervals_of_hot_keys(spark):
     moves, _ = random_moves(7)
     events = spark.createDataFrame(moves, RELOCATIONS).select("relocation_id", "resident_id", "relocated_at")
     plain = rows(event_intervals(events, "resident_id", "relocated_at", "relocation_id"))
-    assert plain == rows(event_intervals(events, "resident_id", "relocated_at", "relocation_id", hot_rows=10))
+    for hot_rows in (10, 1, 0):
+        assert plain == rows(event_intervals(events, "resident_id", "relocated_at", "relocation_id",
+                                             hot_rows=hot_rows))
     assert len(plain) == 300
 
 

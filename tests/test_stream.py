@@ -9,7 +9,7 @@ from asthen.sources.registry import SOURCES
 from asthen.sources.tables import read_table
 from asthen.streaming.rollup import write_generator_daily
 
-SCHEMA = SOURCES["generator_readings"].schema
+SCHEMA = SOURCES["generator_readings"].ddl
 
 
 def deliver(spark, folder, data):
