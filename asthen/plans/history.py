@@ -39,31 +39,25 @@ def dwelling_history(residents: DataFrame, relocations: DataFrame, hot_rows: int
     """
     sliced = slice_hot_keys(relocations, "resident_id", "relocated_at", hot_rows)
     order = within_slice("resident_id", "relocated_at", "relocation_id")
-    moves = sliced.select(
-        F.col("resident_id").alias("_mover"),
-        F.col("_slice").alias("_move_slice"),
-        "from_dwelling_id",
-        "to_dwelling_id",
-        "relocated_at",
-        F.lead("relocated_at").over(order).alias("_next"),
-        F.row_number().over(order).alias("_nth"),
-    )
+    # The windows keep the columns they partition by under their names, which lets the
+    # join below use that partitioning and order again.
+    moves = sliced.withColumns(
+        {"_next": F.lead("relocated_at").over(order), "_nth": F.row_number().over(order)}
+    ).select("resident_id", "_slice", "from_dwelling_id", "to_dwelling_id", "relocated_at", "_next", "_nth")
     # One row per person, or per person and slice where the moves are sliced.
     heads = slice_heads(sliced, "resident_id", "relocated_at")
     people = (
         residents.select("resident_id", "dwelling_id", "registered_at", "resident_status", "birth_date")
         .join(heads, "resident_id", "left")
-        .withColumn("_slice", F.coalesce("_slice", F.lit(WHOLE)))
-        .withColumn("_is_first_slice", F.coalesce("_is_first_slice", F.lit(True)))
-    )
-    both = people.join(
-        moves,
-        (F.col("resident_id") == F.col("_mover")) & (F.col("_slice") == F.col("_move_slice")),
-        "left",
+        .withColumns({
+            "_slice": F.coalesce("_slice", F.lit(WHOLE)),
+            "_is_first_slice": F.coalesce("_is_first_slice", F.lit(True)),
+        })
     )
+    both = people.join(moves, ["resident_id", "_slice"], "left")
 
-    moved = F.col("_mover").isNotNull()
-    is_first = F.col("_is_first_slice") & (F.coalesce("_nth", F.lit(1)) == 1)
+    moved = F.col("_nth").isNotNull()
+    is_first = F.col("_is_first_slice") & (F.col("_nth") == 1)
     original = F.struct(
         F.coalesce("from_dwelling_id", "dwelling_id").alias("dwelling_id"),
         F.col("registered_at").alias("valid_from"),
