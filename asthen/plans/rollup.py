@@ -23,9 +23,8 @@ def refresh_generator_daily(raw_readings: DataFrame, path: str, full_refresh: bo
     """
     spark = raw_readings.sparkSession
     if full_refresh or not exists(spark, path):
-        refresh(generator_daily(stage_readings(raw_readings)), path, [ROLLUP_DAY])
-    else:
-        cutoff = lookback_literal(read_table(spark, path), ROLLUP_DAY, LOOKBACK_DAYS)
-        batch = generator_daily_since(raw_readings, cutoff)
-        upsert(batch, path, [ROLLUP_KEY], ROLLUP_DAY, since=cutoff)
-    return read_table(spark, path)
+        return refresh(generator_daily(stage_readings(raw_readings)), path, [ROLLUP_DAY])
+    target = read_table(spark, path)
+    cutoff = lookback_literal(target, ROLLUP_DAY, LOOKBACK_DAYS)
+    batch = generator_daily_since(raw_readings, cutoff)
+    return upsert(batch, path, [ROLLUP_KEY], ROLLUP_DAY, since=cutoff, target=target)

@@ -49,7 +49,7 @@ def refresh(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataF
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -58,24 +58,28 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def upsert(
-    batch: DataFrame, path: str, keys: Sequence[str], partition: str, since: Column | None = None
-) -> None:
-    """Keyed upsert that rewrites only the partitions the batch touches.
+    batch: DataFrame, path: str, keys: Sequence[str], partition: str,
+    since: Column | None = None, target: DataFrame | None = None,
+) -> DataFrame:
+    """Keyed upsert that rewrites only the partitions the batch touches; the new table.
 
     The key must determine the partition. Rows of a touched partition whose key is not
     in the batch are carried over: overwriting the partition with the batch alone would
     lose keys that no longer have source rows. `since`, a literal below every partition
-    of the batch, spares finding the touched partitions first.
+    of the batch, spares finding the touched partitions first; `target`, the table as
+    read before, spares reading its schema again.
     """
     spark = batch.sparkSession
     rows = batch
-    if exists(spark, path):
+    if target is None and exists(spark, path):
         target = read_table(spark, path)
+    if target is not None:
         if since is None:
             # One value per touched partition, i.e. calendar days: small enough to
             # collect, and as literals they prune the scan of the target.
             days = [r[0] for r in batch.select(partition).distinct().collect()]
-            touched = target.filter(F.col(partition).isin(days))
+            is_touched = F.col(partition).isin([d for d in days if d is not None])
+            touched = target.filter(is_touched | F.col(partition).isNull() if None in days else is_touched)
         else:
             touched = target.filter(F.col(partition) >= since)
         rows = keyed_upsert(touched, batch, keys)
@@ -86,6 +90,7 @@ def upsert(
         .partitionBy(partition)
         .parquet(path)
     )
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 class HistoryTable:
