@@ -49,7 +49,7 @@ def refresh(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataF
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -90,7 +90,7 @@ def upsert(
         .partitionBy(partition)
         .parquet(path)
     )
-    return spark.read.schema(rows.schema).parquet(path)
+    return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
 
 
 class HistoryTable:

@@ -172,7 +172,7 @@ def test_stored_upsert_keeps_undated_rows(spark, tmp_path):
     path, schema = str(tmp_path / "t"), "k int, d date, x int"
     upsert(spark.createDataFrame([(1, None, 1), (2, None, 1), (3, day("2024-01-01"), 1)], schema), path, ["k"], "d")
     out = upsert(spark.createDataFrame([(2, None, 9)], schema), path, ["k"], "d")
-    assert rows(out) == [(1, None, 1), (2, None, 9), (3, day("2024-01-01"), 1)]
+    assert rows(out, "k", "d", "x") == [(1, None, 1), (2, None, 9), (3, day("2024-01-01"), 1)]
 
 
 @pytest.mark.parametrize("value", ["", "   ", None])
