@@ -31,18 +31,18 @@ TEST_TABLES = {
 
 # A home that depends on the person only; a few are blank or unknown to the register.
 _HOME = """case when {id} % 97 = 0 then null when {id} % 101 = 0 then 'DW-unknown'
-            else 'DW-' || cast({id} % (select count(*) from {{supplier}}) as string) end"""
+            else 'DW-' || cast({id} % (select count(*) from {{part}}) as string) end"""
 
 BASE = {
     "dwellings": """
-        select 'DW-' || cast(s_suppkey as string) as dwelling_id,
-               s_nationkey as level_number,
-               cast(s_suppkey as int) as unit_number,
-               case s_suppkey % 4 when 0 then 'STANDARD' when 1 then ' family ' when 2 then 'Single'
+        select 'DW-' || cast(p_partkey as string) as dwelling_id,
+               cast(case when p_partkey % 61 = 0 then -1
+                    else p_partkey % (select count(*) from {supplier}) end as int) as level_number,
+               cast(p_partkey as int) as unit_number,
+               case p_size % 4 when 0 then 'STANDARD' when 1 then ' family ' when 2 then 'Single'
                     else 'DORMITORY' end as dwelling_type,
-               cast(case s_suppkey % 4 when 0 then 3 when 1 then 5 when 2 then 1 else 12 end as int)
-                    as capacity
-        from {supplier}""",
+               cast(case p_size % 4 when 0 then 3 when 1 then 5 when 2 then 1 else 12 end as int) as capacity
+        from {part}""",
     "residents": f"""
         with versions as (
             select *, 0 as copy from {{customer}}
@@ -75,7 +75,7 @@ BASE = {
                'RES-' || cast(o_custkey as string) as resident_id,
                {_HOME.format(id='o_custkey')} as from_dwelling_id,
                case when o_orderkey % 53 = 0 then null
-                    else 'DW-' || cast((o_orderkey * 31 + 7) % (select count(*) from {{supplier}}) as string)
+                    else 'DW-' || cast((o_orderkey * 31 + 7) % (select count(*) from {{part}}) as string)
                     end as to_dwelling_id,
                o_orderdate as relocated_at,
                case o_orderpriority when '1-URGENT' then ' sanction ' when '2-HIGH' then null
@@ -83,16 +83,18 @@ BASE = {
                     else '' end as reason
         from {{orders}}""",
     "departments": """
-        select 'D' || cast(n_nationkey as string) as department_code,
-               ' ' || n_name || ' ' as department_name,
-               n_nationkey as home_level,
-               n_nationkey * 10 as establishment_headcount
-        from {nation}""",
+        select 'D' || cast(s_suppkey as string) as department_code,
+               ' ' || s_name || ' ' as department_name,
+               s_nationkey as home_level,
+               cast(s_suppkey % 25 as int) as establishment_headcount
+        from {supplier}""",
+    # Two codes more than there are departments.
     "job_assignments": """
         select 'JOB-' || cast(o_orderkey as string) as assignment_id,
                'RES-' || cast(o_custkey as string) as resident_id,
-               case when o_orderkey % 3 = 0 then ' d' else 'D' end || cast(o_custkey % 27 as string) || ' '
-                    as department_code,
+               case when o_orderkey % 3 = 0 then ' d' else 'D' end
+                    || cast((o_custkey + o_orderkey % 2) % (select count(*) + 2 from {supplier}) as string)
+                    || ' ' as department_code,
                case o_orderpriority when '5-LOW' then 'Shadow' when '4-NOT SPECIFIED' then ' '
                     else 'Clerk' end as role_title,
                case o_orderkey % 4 when 0 then 'DAY' when 1 then ' swing' when 2 then 'Night '
@@ -107,7 +109,7 @@ BASE = {
     "equipment": """
         select 'EQ-' || cast(p_partkey as string) as equipment_id,
                case when p_partkey % 31 = 0 then ' ' else p_name end as equipment_name,
-               cast(p_partkey % 25 as int) as level_number,
+               cast((p_partkey * 7 + 3) % (select count(*) + 1 from {supplier}) as int) as level_number,
                case p_type when 'LARGE' then 'critical ' when 'MEDIUM' then 'HIGH' when 'SMALL' then ' Medium'
                     when 'ECONOMY' then 'LOW' when 'STANDARD' then 'unrated' else null end as criticality,
                cast(date '1990-01-01' + p_size as date) as installed_on
@@ -161,24 +163,27 @@ BASE = {
                case when l_linestatus = 'O' then '' else ' ' || cast(l_quantity as string) end as labour_hours
         from {lineitem}""",
     "level_zones": """
-        select n_nationkey as level_number, ' ' || r_name as zone_name, r_regionkey as supply_tier,
-               case when n_nationkey % 12 = 0 then true when n_nationkey % 5 = 0 then null else false end
+        select cast(s_suppkey as int) as level_number, ' ' || r_name as zone_name, r_regionkey as supply_tier,
+               case when s_suppkey % 12 = 0 then true when s_suppkey % 5 = 0 then null else false end
                     as has_lift_access
-        from {nation} join {region} on n_regionkey = r_regionkey""",
-    # Two states of the assignments, some time apart: rows appear, change in place and go.
+        from {supplier} join {nation} on s_nationkey = n_nationkey
+             join {region} on n_regionkey = r_regionkey""",
+    # Two states of the assignments: what had started by a day, and the table some time
+    # later, where rows have appeared, changed in place (some without a new change time)
+    # and gone.
     "assignments_before": """
         select 'JOB-' || cast(o_orderkey as string) as assignment_id,
                'RES-' || cast(o_custkey as string) as resident_id,
                o_orderstatus as status, o_orderdate as updated_at
-        from {orders} where o_orderkey % 7 <> 0""",
+        from {orders} where o_orderdate < {ntz} '2000-06-01 00:00:00'""",
     "assignments_after": """
         select 'JOB-' || cast(o_orderkey as string) as assignment_id,
                'RES-' || cast(o_custkey as string) as resident_id,
-               case when o_orderkey % 5 = 0 or o_orderkey % 13 = 0 then 'changed' else o_orderstatus end
+               case when o_orderpriority in ('1-URGENT', '2-HIGH') then 'changed' else o_orderstatus end
                     as status,
-               case when o_orderkey % 5 = 0 then o_orderdate + interval '30' day else o_orderdate end
+               case when o_orderpriority = '1-URGENT' then o_orderdate + interval '30' day else o_orderdate end
                     as updated_at
-        from {orders} where o_orderkey % 11 <> 0""",
+        from {orders} where not (o_orderstatus = 'P' and o_orderpriority = '5-LOW')""",
 }
 
 RAW_TABLES = ("dwellings", "residents", "relocations", "departments", "job_assignments", "equipment",
