@@ -75,19 +75,23 @@ def generator_daily_output(daily: DataFrame) -> DataFrame:
     )
 
 
-def _memberships(assignments: DataFrame) -> DataFrame:
-    """One row per assignment and measure it counts towards, with the entity counted."""
+# What staffing counts, in this order; a membership carries the position.
+STAFFING = ("assignment_count", "headcount", *SHIFTS, "shadow_count")
+ASSIGNMENTS = 0
 
-    def counts(measure: str, entity: str, condition: Column | None = None) -> Column:
-        member = F.struct(F.lit(measure).alias("measure"), F.col(entity).alias("entity"))
-        return member if condition is None else F.when(condition, member)
 
-    members = F.array(
-        counts("assignment_count", "assignment_id"),
-        counts("headcount", "resident_id"),
-        *[counts(measure, "resident_id", F.col("shift_code") == code) for measure, code in SHIFTS.items()],
-        counts("shadow_count", "resident_id", F.col("role_title") == SHADOW_ROLE),
-    )
+def _memberships(assignments: DataFrame) -> DataFrame:
+    """One row per assignment and measure it counts towards, with the entity counted."""
+    everyone = F.lit(True)
+    on_shift = [F.col("shift_code") == code for code in SHIFTS.values()]
+    conditions = (everyone, everyone, *on_shift, F.col("role_title") == SHADOW_ROLE)
+    members = F.array(*[
+        F.when(condition, F.struct(
+            F.lit(i).alias("measure"),
+            F.col("assignment_id" if i == ASSIGNMENTS else "resident_id").alias("entity"),
+        ))
+        for i, condition in enumerate(conditions)
+    ])
     rows = assignments.select("department_code", "first_month", "last_month", F.explode(members).alias("_m"))
     return rows.filter(F.col("_m").isNotNull()).select(
         "department_code", "first_month", "last_month", "_m.measure", "_m.entity"
@@ -111,21 +115,20 @@ def department_monthly_staffing(
         _memberships(covered), ["department_code", "measure", "entity"], "first_month", "last_month"
     )
     steps = month_steps(pieces, "first_month", "last_month", hi)
-    measures = ["headcount", "assignment_count", *SHIFTS, "shadow_count"]
 
     def change(condition: Column) -> Column:
         return F.sum(F.when(condition, F.col("step")).otherwise(0))
 
     counted = F.col("entity").isNotNull()
     per_month = steps.groupBy("department_code", "month_start").agg(
-        *[change((F.col("measure") == m) & counted).alias(m) for m in measures],
+        *[change((F.col("measure") == i) & counted).alias(name) for i, name in enumerate(STAFFING)],
         # null ids count as nobody but still make the department appear that month
-        change(F.col("measure") == "assignment_count").alias("_present"),
+        change(F.col("measure") == ASSIGNMENTS).alias("_present"),
     )
-    spans = per_month.groupBy("department_code").agg(F.min("month_start").alias("_from"))
+    spans = covered.groupBy("department_code").agg(F.min("first_month").alias("_from"))
     grid = month_grid(spans, F.col("_from"), as_month(hi)).drop("_from")
     counts = running_counts(
-        grid, per_month, ["department_code"], [*measures, "_present"], null_safe=True
+        grid, per_month, ["department_code"], [*STAFFING, "_present"], null_safe=True
     ).filter(F.col("_present") > 0)
 
     known = departments.groupBy("department_code", "department_name").agg(
@@ -140,7 +143,7 @@ def department_monthly_staffing(
         surrogate_key(F.col("department_code"), F.col("month_start")).alias("department_month_id"),
         "month_start", "department_code",
         F.coalesce("_name", F.lit(UNMAPPED)).alias("department_name"),
-        "establishment_headcount", *measures,
+        "establishment_headcount", *STAFFING,
         (F.col("headcount") - F.col("establishment_headcount")).alias("headcount_variance"),
         safe_ratio(F.col("headcount"), F.col("establishment_headcount"), 3).alias("establishment_fill_rate"),
         (F.col("headcount") < F.col("establishment_headcount")).alias("is_understaffed"),

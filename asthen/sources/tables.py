@@ -138,3 +138,11 @@ class HistoryTable:
         versions = versions.withColumn("open", F.col("valid_to").isNull().cast("int"))
         refresh(versions, f"{self.path}/v={run}", ["open"])
         return run
+
+    def expire(self, keep: int = 2) -> None:
+        """Delete the open versions of all but the newest `keep` runs, which no read needs;
+        what the runs closed stays."""
+        newest = self.version()
+        for run in range(0, (newest or 0) - keep + 1):
+            fs, folder = _fs(self.spark, f"{self.path}/v={run}/open=1")
+            fs.delete(folder, True)

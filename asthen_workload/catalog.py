@@ -19,7 +19,7 @@ from asthen.plans.rollup import LOOKBACK_DAYS, ROLLUP_DAY, ROLLUP_KEY, refresh_g
 from asthen.sources.registry import SOURCES
 from asthen.sources.tables import read_table, work_dir
 from asthen.streaming.rollup import write_generator_daily
-from bindings import HI, LO, RAW_TABLES, Tables, stream_tables
+from asthen_workload.bindings import HI, LO, RAW_TABLES, Tables, stream_tables
 
 AS_OF_FRESHNESS = datetime(2024, 2, 8, 12)
 AS_OF_SNAPSHOT = datetime(2002, 1, 1)

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
-from bindings import TEST_TABLES
+from asthen_workload.bindings import TEST_TABLES
 
 SF = "/root/testdata/sf0.001"
 TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN", "date": "DATE",

@@ -5,12 +5,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import catalog
+from asthen_workload import catalog
 from asthen.functions import moment
 from asthen.plans.history import generator_daily_since
 from asthen.plans.rollup import refresh_generator_daily
 from asthen.sources.registry import SOURCES
-from bindings import Tables
+from asthen_workload.bindings import Tables
 
 SF = "/root/testdata/sf0.001"
 

@@ -83,3 +83,7 @@ def test_stored_history(spark, tmp_path):
     assert rows(table.read(), *SHOWN) == expected
     assert table.snapshot(after(spark), clock("2024-06-01")) == 3
     assert rows(table.read(), *SHOWN) == expected
+
+    table.expire(keep=1)
+    assert rows(table.read(), *SHOWN) == expected
+    assert sorted(p.parent.name for p in (tmp_path / "h").glob("v=*/open=1")) == ["v=3"]
