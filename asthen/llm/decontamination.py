@@ -90,7 +90,8 @@ def contained_items(
     Words are lower-cased runs of letters and digits. Items of fewer than `n` words have no
     shingle and are never reported, nor are items with a null id. Null or empty texts contain
     nothing. Rows with a null key are left out; rows that repeat a key are one document whose
-    shingles are those of all its texts. Other columns are ignored. Empty tables give no rows.
+    shingles are those of all its texts that share a sketch hash with some item. Other columns are
+    ignored. Empty tables give no rows.
     """
     items = stored(item_shingles(benchmark, item_key, item_text, n))
     sketch = stored(sketches(items, threshold))
@@ -130,3 +131,17 @@ def contained_items(
             F.round(share, 6).alias("containment"),
         )
     )
+
+
+def without_items(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    threshold: float = 0.8,
+    n: int = 5,
+    key: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """The rows of `docs`, whole, that contain no item; rows with a null key stay."""
+    found = contained_items(docs, benchmark, threshold, n, key, text).select(key).distinct()
+    named = docs.where(F.col(key).isNotNull()).join(found, key, "left_anti")
+    return named.select(docs.columns).union(docs.where(F.col(key).isNull()))

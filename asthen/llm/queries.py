@@ -11,12 +11,27 @@ from pyspark.sql import functions as F
 from asthen.llm.common import table
 from asthen.llm.decontamination import contained_items
 from asthen.llm.embeddings import near_vectors
+from asthen.llm.extraction import extract
 from asthen.llm.linededup import dedup_lines
 from asthen.llm.packing import pack
 from asthen.llm.pii import find_pii
 from asthen.llm.sharding import shard_by_bytes
 from asthen.llm.simhash import simhash_components
 from asthen.llm.toxicity import toxicity
+from asthen.llm.urls import filter_urls
+
+#: Rules on hosts and paths, before the classifier.
+URL_RULES = (
+    ("block", "net/"),
+    ("allow", "example.net/en/"),
+    ("block", "example.com/de/"),
+    ("allow", "org/fr/"),
+)
+
+
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return filter_urls(pages, corpus=pages, rules=URL_RULES)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,8 +79,13 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
+        op1_url_filters,
         op2_line_dedup,
         op3_pii,
         op4_decontamination,
@@ -74,6 +94,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op7_packing,
         op8_toxicity,
         op9_sharding,
+        op10_html_extraction,
     )
     return {f.__name__: f for f in found}
 

@@ -255,3 +255,15 @@ def simhash_components(
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def one_of_each(
+    docs: DataFrame, words: int = 3, distance: int = 2, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The rows of `docs`, whole, with one row for each group of near duplicates: that of the least
+    key. Of rows that share this key one stays. Rows with a null key can't be told apart and all
+    stay."""
+    groups = simhash_components(docs, words, distance, key, text)
+    kept = groups.where(F.col(key) == F.col("component_id")).select(F.col(key)).distinct()
+    named = docs.where(F.col(key).isNotNull()).join(kept, key, "left_semi").dropDuplicates([key])
+    return named.select(docs.columns).union(docs.where(F.col(key).isNull()))

@@ -123,7 +123,7 @@ def fit(rows: DataFrame, steps: int = 300, rate: float = 0.05, decay: float = 1e
     totals = seen[seen["place"] < 0][["clean", "toxic"]].sum()
     weights = np.zeros(1 << BITS)
     if not totals["clean"] or not totals["toxic"]:
-        p = (totals["toxic"] + 1) / (totals.sum() + 2)
+        p = (totals["toxic"] + 0.01) / (totals.sum() + 1)  # nothing is toxic without a label
         return Model(weights, float(np.log(p / (1 - p))))
     seen = seen[seen["place"] >= 0]
     clean, toxic = (seen[c].to_numpy(np.float64) for c in ("clean", "toxic"))
@@ -175,24 +175,28 @@ def _design(rows: DataFrame, place: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return index, offsets, got["label"].to_numpy(np.float64)
 
 
-def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, score) of every whole text of `docs`."""
+def scorer(docs: DataFrame, model: Model):
+    """A column function that scores every whole text; the model's features are broadcast."""
     place = np.flatnonzero(model.weights)
     small = docs.sparkSession.sparkContext.broadcast((place, model.weights[place], model.bias))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("double")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         place, kept, bias = small.value
         weights, found = np.zeros(1 << BITS), np.zeros(1 << BITS, bool)
         weights[place] = kept
         mine = Model(weights, bias)
-        for batch in batches:
-            scores = [mine.score(t, found) for t in _texts(batch)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(scores, pa.float64())], names=["key", "score"]
-            )
+        for texts in batches:
+            yield pa.array([mine.score(t.as_py(), found) for t in texts], pa.float64())
 
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "key long, score double").withColumnRenamed("key", key)
+    return run
+
+
+def learn(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic"
+) -> Model:
+    """The model that the labels outside the held-out part give."""
+    return fit(stored(labelled_rows(docs, labels, key, text, label)))
 
 
 def toxicity(
@@ -207,14 +211,28 @@ def toxicity(
     Labels are learned from rows whose crc32 of the key, as text, is not divisible by 5; keys
     with two different labels, null keys and labels other than 0 and 1 teach nothing. Only the
     text enters a score; a null text is empty and scored like one. Repeated rows are scored
-    alike and all returned. With no labels, or labels of one class, all scores are equal.
+    alike and all returned. With no labels, or of one class only, all scores are the share of toxic ones,
+    0.01 without any.
     Columns other than those named are ignored; an empty table gives no rows.
     """
-    rows = stored(labelled_rows(docs, labels, key, text, label))
-    scored = score(docs, fit(rows), key, text)
+    model = learn(docs, labels, key, text, label)
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    scored = rows.select("key", scorer(docs, model)("text").alias("score"))
     return scored.select(
-        key,
-        held_out(F.col(key)).alias("held_out"),
+        F.col("key").alias(key),
+        held_out(F.col("key")).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+def without_toxic(
+    docs: DataFrame,
+    labels: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    label: str = "toxic",
+) -> DataFrame:
+    """The rows of `docs`, whole, whose text scores under 0.5."""
+    model = learn(docs, labels, key, text, label)
+    return docs.where(scorer(docs, model)(F.col(text)) < 0.5)
