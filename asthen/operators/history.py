@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,11 @@ def lookback_literal(target: DataFrame, day: str, days: int) -> Column:
     return F.lit(lookback_start(target, day, days).first()["cutoff"])
 
 
+def lookback_from(newest: date | None, days: int) -> Column:
+    """The same cutoff where the newest day is known, from a table's partitions."""
+    return F.lit((newest or date.fromisoformat(EMPTY_TARGET_DAY)) - timedelta(days=days))
+
+
 def keyed_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Delete the target rows whose key is in the batch, insert the batch.
 

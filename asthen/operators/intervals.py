@@ -14,16 +14,6 @@ from pyspark.sql import functions as F
 
 from asthen.functions import month_of
 
-# Rows of one key that a single task may order. A key above it is cut into slices of
-# time: days, hours or minutes, the finer the more rows it has.
-HOT_ROWS = 1_000_000
-HOURS_ABOVE, MINUTES_ABOVE = 100, 10_000  # times HOT_ROWS
-# Length of a time's text up to the day, hour and minute.
-DAY, HOUR, MINUTE = 10, 13, 16
-# Slice of keys that are not cut, and of a cut key's events without a time; they sort
-# before and after all others.
-WHOLE, UNDATED = "", "~"
-
 ONE_MONTH = "interval 1 month"
 
 
@@ -38,63 +28,39 @@ def months_between(first: Column, last: Column) -> Column:
 # --- intervals from events -----------------------------------------------------
 
 
-def slice_hot_keys(events: DataFrame, key: str, at: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add `_slice`: for keys with more than hot_rows rows the event's time, cut to the
-    day, hour or minute; one constant for all other keys.
-
-    At most rows / hot_rows keys can be hot, which bounds the broadcast list. The slice
-    depends on the row and the key's exact count, so a repeated task assigns it again.
-    """
-    n = F.col("_rows")
-    length = F.when(n > hot_rows * MINUTES_ABOVE, MINUTE).when(n > hot_rows * HOURS_ABOVE, HOUR)
-    hot = (
-        events.groupBy(key)
-        .agg(F.count("*").alias("_rows"))
-        .filter(n > hot_rows)
-        .select(key, length.otherwise(DAY).alias("_length"))
-    )
-    cut = F.coalesce(F.substr(F.col(at).cast("string"), F.lit(1), F.col("_length")), F.lit(UNDATED))
-    return (
-        events.join(F.broadcast(hot), key, "left")
-        .withColumn("_slice", F.when(F.col("_length").isNotNull(), cut).otherwise(WHOLE))
-        .drop("_length")
-    )
-
-
-def slice_heads(sliced: DataFrame, key: str, at: str) -> DataFrame:
-    """Per slice of a hot key: start of the next slice, and whether it is the first.
-
-    Empty unless there are hot keys; at most one row per hot key and slice of time.
-    """
-    heads = (
-        sliced.filter(F.col("_slice") != WHOLE).groupBy(key, "_slice").agg(F.min(at).alias("_head"))
-    )
-    order = Window.partitionBy(key).orderBy("_slice")
-    return heads.select(
-        key,
-        "_slice",
-        F.lead("_head").over(order).alias("_next_head"),
-        F.lag("_head").over(order).isNull().alias("_is_first_slice"),
-    )
-
-
-def within_slice(key: str, at: str, tie: str):
-    """Order of one key's events; nulls last, ties settled by a unique column."""
-    return Window.partitionBy(key, "_slice").orderBy(F.col(at).asc_nulls_last(), F.col(tie).asc())
-
-
 def event_intervals(
-    events: DataFrame, key: str, at: str, tie: str, valid_to: str = "valid_to", hot_rows: int = HOT_ROWS
+    events: DataFrame, key: str, at: str, tie: str, valid_to: str = "valid_to", first: str | None = None
 ) -> DataFrame:
-    """Each event lasts until the key's next one; the last stays open (null)."""
-    sliced = slice_hot_keys(events, key, at, hot_rows)
-    rows = sliced.withColumn("_next", F.lead(at).over(within_slice(key, at, tie)))
-    heads = slice_heads(sliced, key, at).drop("_is_first_slice")
-    return (
-        rows.join(heads, [key, "_slice"], "left")
-        .withColumn(valid_to, F.coalesce("_next", "_next_head"))
-        .drop("_slice", "_next", "_next_head")
+    """Each event lasts until the key's next one; the last stays open (null). `first`, if named,
+    is a column that marks each key's first event.
+
+    Every key's events are cut by calendar day: rows are ordered within a day, and the
+    day's last row takes its end from the start of the key's next day. The days' starts are
+    summed per task and ordered among themselves, at most one row per key and day, so no task
+    orders all events of a frequent key. Events without a time sort last, null keys are a
+    key like any other. Two passes over the events, whatever their number.
+    """
+    day = F.to_date(at)
+    own = Window.partitionBy(key, "_day").orderBy(F.col(at).asc_nulls_last(), F.col(tie).asc())
+    rows = events.withColumn("_day", day).withColumns(
+        {"_next": F.lead(at).over(own), "_nth": F.row_number().over(own)}
+    )
+    order = Window.partitionBy("_key").orderBy(F.col("_of").asc_nulls_last())
+    days = (
+        events.groupBy(F.col(key).alias("_key"), day.alias("_of"))
+        .agg(F.min(at).alias("_start"))
+        .select(
+            "_key", "_of",
+            F.lead("_start").over(order).alias("_next_start"),
+            (F.row_number().over(order) == 1).alias("_first_day"),
+        )
     )
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_day").eqNullSafe(F.col("_of"))
+    # every event has its day, so the join is inner
+    joined = rows.join(days, same).withColumn(valid_to, F.coalesce("_next", "_next_start"))
+    if first:
+        joined = joined.withColumn(first, F.col("_first_day") & (F.col("_nth") == 1))
+    return joined.drop("_day", "_next", "_nth", "_key", "_of", "_next_start", "_first_day")
 
 
 # --- months --------------------------------------------------------------------

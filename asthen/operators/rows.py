@@ -39,18 +39,24 @@ def drop_flagged(df: DataFrame, flag: str) -> DataFrame:
 
 
 def latest_since(
-    df: DataFrame, keys: Sequence[str], by: str, at: str, since: Column, tie: Sequence[str] = ()
+    df: DataFrame, keys: Sequence[str], by: str, at: str, since: Column, tie: Sequence[str] = (),
+    at_day: str | None = None, by_day: str | None = None,
 ) -> DataFrame:
     """latest_per_key(df) restricted to rows with at >= since, without ranking all history.
 
     A row outside the period matters only where it is a later version of a key seen
     inside it, so its `by` is null or at least the smallest `by` inside the period.
-    Everything else is dropped before the shuffle; the minimum is a scalar subquery
-    over the pruned scan.
+    Everything else is dropped before the shuffle; the minimum is a scalar subquery.
+
+    A table partitioned by the days of `at` and `by` names them in `at_day` and `by_day`:
+    the period and its rivals are then whole partitions, and nothing else is read.
     """
     inside = F.col(at) >= since
+    days = F.col(at_day) >= F.to_date(since) if at_day else F.lit(True)
     # A null `by` counts as largest, so it can be left out of the minimum; with only
     # nulls inside, rows outside can win through a null of their own.
-    floor = df.filter(inside).agg(F.min(by)).scalar()
+    floor = df.filter(days & inside).agg(F.min(by)).scalar()
     rivals = df.filter(inside | F.col(by).isNull() | (F.col(by) >= floor))
+    if at_day and by_day:
+        rivals = rivals.filter(days | F.col(by_day).isNull() | (F.col(by_day) >= F.to_date(floor)))
     return latest_per_key(rivals, keys, [by], tie).filter(inside)

@@ -7,57 +7,48 @@ from pyspark.sql import functions as F
 
 from asthen.functions import exact_mean, surrogate_key
 from asthen.operators.intervals import (
-    HOT_ROWS,
-    WHOLE,
     clamp_months,
+    event_intervals,
     expand_months,
     month_grid,
     month_steps,
     running_counts,
-    slice_heads,
-    slice_hot_keys,
-    within_slice,
 )
 from asthen.operators.rows import latest_since
-from asthen.plans.staging import READING_KEY, READING_ORDER, READING_TIE, clean_readings
+from asthen.plans.staging import (
+    READ_DAY,
+    READING_KEY,
+    READING_ORDER,
+    READING_TIE,
+    SYNC_DAY,
+    clean_readings,
+)
 
 # The reporting months and the name of departments without a match.
 FIRST_MONTH, LAST_MONTH = "2022-01-01", "2024-12-01"
 UNMAPPED = "UNMAPPED"
 
 
-def dwelling_history(residents: DataFrame, relocations: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def dwelling_history(residents: DataFrame, relocations: DataFrame) -> DataFrame:
     """One row per person and period in a dwelling.
 
     Every move opens a period that the next move closes. Before the first move the
     person lived where that move came from, since registration; who never moved lives
     in the current dwelling. Status and birth date are today's, not those of the period.
-
-    Moves are ordered per person, or per person and slice of time where one person has
-    very many, and joined to the person on that same partitioning: one shuffle of the moves, and
-    no task holds all moves of such a person. The first move yields two periods.
+    The first move yields two periods. Moves without a person belong to no one and go first.
     """
-    sliced = slice_hot_keys(relocations, "resident_id", "relocated_at", hot_rows)
-    order = within_slice("resident_id", "relocated_at", "relocation_id")
-    # The windows keep the columns they partition by under their names, which lets the
-    # join below use that partitioning and order again.
-    moves = sliced.withColumns(
-        {"_next": F.lead("relocated_at").over(order), "_nth": F.row_number().over(order)}
-    ).select("resident_id", "_slice", "from_dwelling_id", "to_dwelling_id", "relocated_at", "_next", "_nth")
-    # One row per person, or per person and slice where the moves are sliced.
-    heads = slice_heads(sliced, "resident_id", "relocated_at")
-    people = (
-        residents.select("resident_id", "dwelling_id", "registered_at", "resident_status", "birth_date")
-        .join(heads, "resident_id", "left")
-        .withColumns({
-            "_slice": F.coalesce("_slice", F.lit(WHOLE)),
-            "_is_first_slice": F.coalesce("_is_first_slice", F.lit(True)),
-        })
-    )
-    both = people.join(moves, ["resident_id", "_slice"], "left")
-
-    moved = F.col("_nth").isNotNull()
-    is_first = F.col("_is_first_slice") & (F.col("_nth") == 1)
+    moves = event_intervals(
+        relocations.filter(F.col("resident_id").isNotNull()).select(
+            "resident_id", "relocation_id", "from_dwelling_id", "to_dwelling_id", "relocated_at"
+        ),
+        "resident_id", "relocated_at", "relocation_id", valid_to="_until", first="_is_first",
+    )
+    people = residents.select(
+        "resident_id", "dwelling_id", "registered_at", "resident_status", "birth_date"
+    )
+    both = people.join(moves, "resident_id", "left")
+
+    moved, is_first = F.col("_is_first").isNotNull(), F.col("_is_first")
     original = F.struct(
         F.coalesce("from_dwelling_id", "dwelling_id").alias("dwelling_id"),
         F.col("registered_at").alias("valid_from"),
@@ -66,7 +57,7 @@ def dwelling_history(residents: DataFrame, relocations: DataFrame, hot_rows: int
     after_move = F.struct(
         F.col("to_dwelling_id").alias("dwelling_id"),
         F.col("relocated_at").alias("valid_from"),
-        F.coalesce("_next", "_next_head").alias("valid_to"),
+        F.col("_until").alias("valid_to"),
     )
     periods = (
         F.when(moved & is_first, F.array(original, after_move))
@@ -112,8 +103,9 @@ def level_monthly_population(
 
     Counts periods: who moves within a month counts on both levels. Each period becomes
     its two edges, which are summed per dwelling and month before any shuffle, then per
-    level; the running sum over the grid gives the counts. The range join of periods
-    with months is never carried out.
+    level; the running sum over levels and months gives the counts, to which each row of the
+    zones then adds its attributes. The range join of periods with months is never
+    carried out.
     """
     covered = clamp_months(history, "valid_from", "valid_to", lo, hi)
     steps = month_steps(
@@ -135,10 +127,17 @@ def level_monthly_population(
             ),
         )
     )
-    grid = month_grid(zones.select("level_number", "zone_name", "supply_tier"), lo, hi)
-    grid = grid.select("month_start", "level_number", "zone_name", "supply_tier")
+    grid = month_grid(zones.select("level_number").distinct(), lo, hi)
     measures = ["total_residents", "active_residents", "family_dwelling_residents"]
-    return running_counts(grid, per_level, ["level_number"], measures)
+    counts = running_counts(grid.select("month_start", "level_number"), per_level, ["level_number"], measures)
+    # a level may stand in several zones, each with all its people, and may be null
+    z = zones.groupBy(F.col("level_number").alias("_l"), "zone_name", "supply_tier").agg(
+        F.count("*").alias("_rows")  # a repeated row counts its people again
+    )
+    return counts.join(z, F.col("level_number").eqNullSafe(F.col("_l"))).select(
+        "month_start", "level_number", "zone_name", "supply_tier",
+        *[(F.col(m) * F.col("_rows")).alias(m) for m in measures],
+    )
 
 
 def with_department(assignments: DataFrame, departments: DataFrame) -> DataFrame:
@@ -196,7 +195,12 @@ def generator_daily(readings: DataFrame) -> DataFrame:
 def generator_daily_since(raw_readings: DataFrame, cutoff: Column) -> DataFrame:
     """The daily rows of all whole days from the cutoff on, from raw readings.
 
-    Equals filtering the staged readings, without ranking the whole history.
+    Equals filtering the staged readings, without ranking the whole history, and without reading it
+    where the readings are stored by day (`with_reading_days`).
     """
-    recent = latest_since(raw_readings, READING_KEY, READING_ORDER[0], "read_at", cutoff, READING_TIE)
+    stored = {READ_DAY, SYNC_DAY} <= set(raw_readings.columns)
+    recent = latest_since(
+        raw_readings, READING_KEY, READING_ORDER[0], "read_at", cutoff, READING_TIE,
+        READ_DAY if stored else None, SYNC_DAY if stored else None,
+    )
     return generator_daily(clean_readings(recent))

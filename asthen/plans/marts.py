@@ -81,20 +81,31 @@ ASSIGNMENTS = 0
 
 
 def _memberships(assignments: DataFrame) -> DataFrame:
-    """One row per assignment and measure it counts towards, with the entity counted."""
-    everyone = F.lit(True)
-    on_shift = [F.col("shift_code") == code for code in SHIFTS.values()]
-    conditions = (everyone, everyone, *on_shift, F.col("role_title") == SHADOW_ROLE)
-    members = F.array(*[
-        F.when(condition, F.struct(
-            F.lit(i).alias("measure"),
-            F.col("assignment_id" if i == ASSIGNMENTS else "resident_id").alias("entity"),
-        ))
-        for i, condition in enumerate(conditions)
-    ])
-    rows = assignments.select("department_code", "first_month", "last_month", F.explode(members).alias("_m"))
-    return rows.filter(F.col("_m").isNotNull()).select(
-        "department_code", "first_month", "last_month", "_m.measure", "_m.entity"
+    """One row per measure, entity counted and first month, with the latest last month.
+
+    An assignment becomes two rows, itself and its person; these are dealt by entity and
+    reduced, and only then fan out to the measures. All further steps per entity keep that dealing:
+    the assignments are read and moved once.
+    """
+    shadow = F.col("role_title") == SHADOW_ROLE
+    entities = F.array(
+        F.struct(F.lit(True).alias("is_assignment"), F.col("assignment_id").cast("string").alias("entity"),
+                 F.lit(None).cast("string").alias("shift"), F.lit(None).cast("boolean").alias("shadow")),
+        F.struct(F.lit(False).alias("is_assignment"), F.col("resident_id").cast("string").alias("entity"),
+                 F.col("shift_code").alias("shift"), shadow.alias("shadow")),
+    )
+    reduced = (
+        assignments.select("department_code", "first_month", "last_month", F.inline(entities))
+        .repartition("department_code", "is_assignment", "entity")
+        .groupBy("department_code", "is_assignment", "entity", "shift", "shadow", "first_month")
+        .agg(F.max("last_month").alias("last_month"))
+    )
+    conditions = [F.lit(True), *[F.col("shift") == code for code in SHIFTS.values()], F.col("shadow")]
+    of_person = F.array_compact(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(conditions, 1)]))
+    measures = F.when(F.col("is_assignment"), F.array(F.lit(ASSIGNMENTS))).otherwise(of_person)
+    return reduced.select(
+        "department_code", "is_assignment", "entity", "first_month", "last_month",
+        F.explode(measures).alias("measure"),
     )
 
 
@@ -112,7 +123,8 @@ def department_monthly_staffing(
     """
     covered = clamp_months(assignments, "started_at", "ended_at", lo, hi)
     pieces = disjoint_months(
-        _memberships(covered), ["department_code", "measure", "entity"], "first_month", "last_month"
+        _memberships(covered), ["department_code", "is_assignment", "entity", "measure"],
+        "first_month", "last_month",
     )
     steps = month_steps(pieces, "first_month", "last_month", hi)
 
@@ -125,7 +137,7 @@ def department_monthly_staffing(
         # null ids count as nobody but still make the department appear that month
         change(F.col("measure") == ASSIGNMENTS).alias("_present"),
     )
-    spans = covered.groupBy("department_code").agg(F.min("first_month").alias("_from"))
+    spans = per_month.groupBy("department_code").agg(F.min("month_start").alias("_from"))
     grid = month_grid(spans, F.col("_from"), as_month(hi)).drop("_from")
     counts = running_counts(
         grid, per_month, ["department_code"], [*STAFFING, "_present"], null_safe=True

@@ -23,6 +23,11 @@ NO_REASON = "UNSPECIFIED"
 CRITICALITY = {"CRITICAL": 1, "HIGH": 2, "MEDIUM": 3, "LOW": 4}
 NO_CRITICALITY = 9
 
+# Partitions of stored raw readings: the day read and the day synced.
+READ_DAY, SYNC_DAY = "read_day", "sync_day"
+
+# Makes the choice between copies of one state of a person repeatable.
+RESIDENT_TIE = ["given_name", "family_name", "dwelling_id", "status", "birth_date", "registered_at", "_deleted"]
 RESIDENT_KEY, RESIDENT_ORDER = ["resident_id"], ["_synced_at", "updated_at"]
 READING_KEY, READING_ORDER = ["reading_id"], ["_synced_at"]
 # Makes the choice between copies of one sync repeatable.
@@ -41,6 +46,11 @@ def whole(name: str):
     return F.col(name).cast("int").alias(name)
 
 
+def with_reading_days(readings: DataFrame) -> DataFrame:
+    """Raw readings with the days they are to be stored by."""
+    return readings.withColumns({READ_DAY: F.to_date("read_at"), SYNC_DAY: F.to_date("_synced_at")})
+
+
 def clean_residents(residents: DataFrame) -> DataFrame:
     given, family = blank_to_null(F.col("given_name")), blank_to_null(F.col("family_name"))
     return residents.select(
@@ -62,7 +72,7 @@ def clean_residents(residents: DataFrame) -> DataFrame:
 def stage_residents(residents: DataFrame) -> DataFrame:
     """Latest version per person; the deleted flag is looked at only afterwards, so an
     older live copy does not bring a deleted person back."""
-    latest = latest_per_key(residents, RESIDENT_KEY, RESIDENT_ORDER)
+    latest = latest_per_key(residents, RESIDENT_KEY, RESIDENT_ORDER, RESIDENT_TIE)
     return drop_flagged(clean_residents(latest), "is_deleted")
 
 

@@ -8,7 +8,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from asthen.operators.quality import Check
@@ -102,7 +101,8 @@ SOURCES = {
 def read_source(spark: SparkSession, table: str, root: str, fmt: str = "csv") -> DataFrame:
     """Read `root/<system>/<table>` with its declared schema; nothing is inferred.
 
-    csv files carry a header and sit at `<table>.csv`; an empty field is null. With
+    csv files carry a header, which must name the columns in their declared order, and sit at
+    `<table>.csv`; an empty field is null. With
     fmt="table" the root is a catalog (or empty) and system.table names the table.
     """
     source = SOURCES[table]
@@ -111,21 +111,10 @@ def read_source(spark: SparkSession, table: str, root: str, fmt: str = "csv") ->
     path = f"{root}/{source.system}/{table}"
     reader = spark.read.schema(source.schema)
     if fmt == "csv":
-        return reader.option("header", True).option("mode", "FAILFAST").csv(f"{path}.csv")
+        options = {"header": True, "mode": "FAILFAST", "enforceSchema": False}
+        return reader.options(**options).csv(f"{path}.csv")
     return reader.format(fmt).load(path)
 
 
 def read_sources(spark: SparkSession, root: str, fmt: str = "csv") -> dict[str, DataFrame]:
     return {table: read_source(spark, table, root, fmt) for table in SOURCES}
-
-
-def level_zones(spark: SparkSession) -> DataFrame:
-    """The level reference table, built from its rule."""
-    # 144 levels in three zones, and the landings with a lift.
-    level = F.col("id").cast("int")
-    return spark.range(1, 145).select(
-        level.alias("level_number"),
-        F.when(level <= 20, "Up Top").when(level <= 100, "Mids").otherwise("Down Deep").alias("zone_name"),
-        F.when(level <= 20, 1).when(level <= 100, 2).otherwise(3).alias("supply_tier"),
-        ((level % 12 == 0) | level.isin(1, 34, 56, 72)).alias("has_lift_access"),
-    )

@@ -1,17 +1,22 @@
-"""Table sinks: full refresh, partition upsert, and a versioned type-2 history.
+"""Table sinks: full refresh, partition upsert, appended batches, and a versioned type-2 history.
 
-All paths belong to a file system every executor reaches. A rewritten table appears
-with its job commit, so losing executors costs retried tasks and no data.
+All paths belong to a file system every executor reaches; losing executors costs retried
+tasks. Each table keeps its schema beside its files, so no read opens files to learn one and a
+table without rows has its columns. Only the type-2 history publishes a run at once; a
+refresh or an upsert replaces files in place, and one that failed half-way is run again.
 """
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from asthen.operators.history import keyed_upsert, scd2_changes, scd2_first_load, with_new_columns
 
@@ -27,6 +32,39 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+# Beside a table's files; readers skip names that begin with an underscore.
+SCHEMA_FILE = "_schema"
+
+
+def save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    fs, file = _fs(spark, f"{path}/{SCHEMA_FILE}")
+    out = fs.create(file, True)
+    try:
+        out.write(bytearray(schema.json().encode()))
+    finally:
+        out.close()
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    fs, file = _fs(spark, f"{path}/{SCHEMA_FILE}")
+    if not fs.exists(file):
+        return None
+    stream = fs.open(file)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return T.StructType.fromJson(json.loads(text))
+
+
+def newest_partition(spark: SparkSession, path: str, column: str) -> date | None:
+    """The greatest date among a table's partitions, from their names alone."""
+    fs, folder = _fs(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    values = [n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")]
+    return max((date.fromisoformat(v) for v in values if v[:1].isdigit()), default=None)
+
+
 def work_dir(spark: SparkSession) -> str:
     """A new folder in the shared one the cluster names in spark.checkpoint.dir."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
@@ -49,12 +87,26 @@ def refresh(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataF
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    save_schema(df.sparkSession, path, df.schema)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A table whose older files may lack columns that were appended later."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    """A table with the schema it was last written with; columns that older files lack are null."""
+    schema = stored_schema(spark, path)
+    if schema is None:  # written by others
+        return spark.read.option("mergeSchema", True).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def append_batch(df: DataFrame, path: str, batch: int, partition_by: Sequence[str]) -> None:
+    """Add a numbered batch to a table; writing the same number again replaces it."""
+    folder = f"{path}/batch={batch}"
+    refresh(df, folder, partition_by)
+
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def upsert(
@@ -90,6 +142,7 @@ def upsert(
         .partitionBy(partition)
         .parquet(path)
     )
+    save_schema(spark, path, rows.schema)
     return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
 
 
@@ -98,8 +151,8 @@ class HistoryTable:
 
     v=N/open=1 holds the versions open after run N, v=N/open=0 those run N closed. The
     history at N is v=N/open=1 plus v<=N/open=0, so a run writes the open versions and
-    the newly closed ones, never the closed past. The job commit of v=N (_SUCCESS)
-    publishes it; a run that failed before is repeated into the same folder.
+    the newly closed ones, never the closed past. The schema file of v=N, written after
+    its rows, publishes it; a run that failed before is repeated into the same folder.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str, updated_at: str):
@@ -111,11 +164,14 @@ class HistoryTable:
         if not fs.exists(folder):
             return None
         runs = [str(s.getPath()) for s in fs.listStatus(folder)]
-        done = [int(r.rsplit("=", 1)[1]) for r in runs if exists(self.spark, f"{r}/_SUCCESS")]
+        done = [int(r.rsplit("=", 1)[1]) for r in runs if exists(self.spark, f"{r}/{SCHEMA_FILE}")]
         return max(done, default=None)
 
-    def _rows(self) -> DataFrame:
-        return read_table(self.spark, self.path)
+    def _rows(self, version: int) -> DataFrame:
+        """All files, with the columns of a run; columns are only ever added."""
+        schema = T.StructType([*stored_schema(self.spark, f"{self.path}/v={version}").fields])
+        schema = schema.add("v", T.IntegerType())
+        return self.spark.read.schema(schema).parquet(self.path).select(*schema.names)
 
     def read(self) -> DataFrame:
         version = self.version()
@@ -123,7 +179,7 @@ class HistoryTable:
             raise FileNotFoundError(f"no committed run at {self.path}")
         still_open = (F.col("v") == version) & (F.col("open") == 1)
         closed = (F.col("v") <= version) & (F.col("open") == 0)
-        return self._rows().filter(still_open | closed).drop("v", "open")
+        return self._rows(version).filter(still_open | closed).drop("v", "open")
 
     def snapshot(self, source: DataFrame, as_of: Column) -> int:
         """Take one snapshot of the source; returns the run it committed."""
@@ -132,7 +188,7 @@ class HistoryTable:
             run, versions = 0, scd2_first_load(source, self.key, self.updated_at)
         else:
             run = version + 1
-            still_open = self._rows().filter((F.col("v") == version) & (F.col("open") == 1))
+            still_open = self._rows(version).filter((F.col("v") == version) & (F.col("open") == 1))
             still_open = with_new_columns(still_open.drop("v", "open"), source)
             versions = scd2_changes(still_open, source, self.key, self.updated_at, as_of)
         versions = versions.withColumn("open", F.col("valid_to").isNull().cast("int"))
@@ -142,6 +198,8 @@ class HistoryTable:
     def expire(self, keep: int = 2) -> None:
         """Delete the open versions of all but the newest `keep` runs, which no read needs;
         what the runs closed stays."""
+        if keep < 1:
+            raise ValueError("the newest run's open versions are the table; keep at least 1")
         newest = self.version()
         for run in range(0, (newest or 0) - keep + 1):
             fs, folder = _fs(self.spark, f"{self.path}/v={run}/open=1")

@@ -1,106 +1,41 @@
 """Daily rollup of a stream of readings.
 
-State is bounded by the watermark: reading ids and open days are kept for the same 14
-days the batch job looks back. Update mode emits a day whenever it changes (append mode
-would hold back the last 14 days), and the sink replaces the day's row by key, so the
-table always equals a batch run over what has arrived.
+Each micro-batch is added to the stored raw readings and followed by one run of the
+incremental batch job on them. The latest sync of a reading therefore wins, copies count
+once, and late readings are picked up exactly as far back as the batch job looks: the
+table always equals batch runs over what had arrived. Nothing is kept in memory between
+batches; a run reads the days looked back, and what was synced since.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from asthen.functions import exact_mean, surrogate_key
-from asthen.plans.rollup import LOOKBACK_DAYS, ROLLUP_DAY, ROLLUP_KEY
-from asthen.plans.staging import clean_readings
-from asthen.sources.tables import upsert
+from asthen.plans.rollup import LOOKBACK_DAYS, refresh_generator_daily
+from asthen.plans.staging import READ_DAY, SYNC_DAY, with_reading_days
+from asthen.sources.tables import append_batch, read_batches
 
-WATERMARK = f"{LOOKBACK_DAYS} days"
-# Parts that the copies of one reading are first spread over.
-COPY_SALTS = 16
-EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
-
-def utc_instant(moment: Column) -> Column:
-    """A zone-less time as the UTC instant of the same reading on the clock, as a
-    watermark needs an instant and day windows start at midnight UTC."""
-    seconds = (moment - F.expr(EPOCH)).cast("interval second").cast("decimal(20,6)")
-    return F.timestamp_micros((seconds * 1_000_000).cast("bigint"))
-
-
-def utc_date(instant: Column) -> Column:
-    return F.date_from_unix_date(F.floor(F.unix_seconds(instant) / 86_400).cast("int"))
-
-
-def distinct_readings(raw: DataFrame) -> DataFrame:
-    """Cleaned readings, each id once while the watermark remembers it.
-
-    Copies are first dropped per id and salt, so that the many copies of one reading
-    meet in several tasks; at most COPY_SALTS of them reach the second step.
-    """
-    # seeded, so a repeated map task salts its rows as before
-    salt = (F.rand(seed=7) * COPY_SALTS).cast("int")
-    readings = (
-        clean_readings(raw)
-        .withColumn("event_time", utc_instant(F.col("read_at")))
-        .withColumn("_salt", salt)
-        .withWatermark("event_time", WATERMARK)
-    )
-    return (
-        readings.dropDuplicatesWithinWatermark(["reading_id", "_salt"])
-        .drop("_salt")
-        .dropDuplicatesWithinWatermark(["reading_id"])
-    )
-
-
-def stream_generator_daily(raw: DataFrame) -> DataFrame:
-    """The columns of generator_daily over a stream; use with update mode."""
-    per_day = (
-        distinct_readings(raw)
-        .groupBy("generator_id", F.window("event_time", "1 day"))
-        .agg(
-            F.count("*").alias("reading_count"),
-            F.count("output_kw").alias("valid_reading_count"),
-            F.count_if("is_faulty_reading").alias("faulty_reading_count"),
-            exact_mean(F.col("output_kw"), 2).alias("avg_output_kw"),
-            F.round(F.min("output_kw"), 2).alias("min_output_kw"),
-            F.round(F.max("output_kw"), 2).alias("max_output_kw"),
-            exact_mean(F.col("temperature_c"), 2).alias("avg_temperature_c"),
-            F.round(F.max("vibration_mm_s"), 3).alias("max_vibration_mm_s"),
-            F.max("synced_at").alias("last_synced_at"),
-        )
-        .withColumn(ROLLUP_DAY, utc_date(F.col("window.start")))
-        .drop("window")
-    )
-    return per_day.select(
-        surrogate_key(F.col("generator_id"), F.col(ROLLUP_DAY)).alias(ROLLUP_KEY),
-        "generator_id", ROLLUP_DAY,
-        *[c for c in per_day.columns if c not in ("generator_id", ROLLUP_DAY)],
-    )
-
-
-def write_generator_daily(raw: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Keep the table at `path` up to date from a stream of raw readings.
+def write_generator_daily(
+    raw: DataFrame, path: str, readings_path: str, checkpoint: str,
+    lookback_days: int = LOOKBACK_DAYS, **trigger,
+) -> StreamingQuery:
+    """Keep the table at `path` up to date from a stream of raw readings, kept at `readings_path`.
 
     `trigger` as for DataStreamWriter.trigger, e.g. availableNow=True. A repeated batch
-    writes the same rows again, so a restart from the checkpoint loses and doubles nothing.
+    replaces itself in the stored readings, and the rollup's upsert is idempotent, so a restart
+    from the checkpoint loses and doubles nothing.
     """
+    schema = with_reading_days(raw).schema
 
-    def merge(batch: DataFrame, _: int) -> None:
-        # the upsert reads the batch more than once; the stateful plan should run once
-        batch.persist()
-        try:
-            if not batch.isEmpty():
-                upsert(batch, path, [ROLLUP_KEY], ROLLUP_DAY)
-        finally:
-            batch.unpersist()
+    def merge(batch: DataFrame, number: int) -> None:
+        append_batch(with_reading_days(batch), readings_path, number, [READ_DAY, SYNC_DAY])
+        readings = read_batches(batch.sparkSession, readings_path, schema)
+        refresh_generator_daily(readings, path, lookback_days=lookback_days)
 
     return (
-        stream_generator_daily(raw)
-        .writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
+        raw.writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(merge)
         .trigger(**trigger)
         .start()

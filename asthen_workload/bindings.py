@@ -143,13 +143,6 @@ BASE = {
         select reading_id, generator_id, read_at, '-1' as output_kw, temperature_c, vibration_mm_s,
                is_manual_entry, _synced_at - interval '1' second as _synced_at
         from {reading_feed} where n % 75 = 1""",
-    # At-least-once delivery: some readings arrive again, unchanged.
-    "reading_stream": """
-        select reading_id, generator_id, read_at, output_kw, temperature_c, vibration_mm_s,
-               is_manual_entry, _synced_at from {reading_feed}
-        union all
-        select reading_id, generator_id, read_at, output_kw, temperature_c, vibration_mm_s,
-               is_manual_entry, _synced_at from {reading_feed} where n % 50 = 0""",
     "maintenance_orders": """
         select 'MO-' || cast(l_orderkey as string) || '-' || cast(l_linenumber as string) as order_id,
                'EQ-' || cast(l_partkey as string) as equipment_id,

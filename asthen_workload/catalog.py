@@ -17,7 +17,7 @@ from asthen.operators.rows import earliest_per_key, latest_per_key, latest_since
 from asthen.plans import analyses, history, marts, project, staging
 from asthen.plans.rollup import LOOKBACK_DAYS, ROLLUP_DAY, ROLLUP_KEY, refresh_generator_daily
 from asthen.sources.registry import SOURCES
-from asthen.sources.tables import read_table, work_dir
+from asthen.sources.tables import read_table, refresh, work_dir
 from asthen.streaming.rollup import write_generator_daily
 from asthen_workload.bindings import HI, LO, RAW_TABLES, Tables, stream_tables
 
@@ -284,6 +284,18 @@ def level_monthly_population(t):
     )
 
 
+@query
+def population_of_doubled_levels(t):
+    """Every seventh level stands in a second zone; both have all its people."""
+    zones = staging.stage_level_zones(t["level_zones"]).select("level_number", "zone_name", "supply_tier")
+    second = zones.filter("level_number % 7 = 0").withColumns(
+        {"zone_name": F.lit("Second"), "supply_tier": F.lit(9).cast(zones.schema["supply_tier"].dataType)}
+    )
+    return history.level_monthly_population(
+        dwelling_history(t), staging.stage_dwellings(t["dwellings"]), zones.union(second), LO, HI
+    )
+
+
 @query
 def level_monthly_occupancy(t):
     return marts.level_monthly_occupancy(level_monthly_population(t))
@@ -420,7 +432,7 @@ def first_run(t):
 
 
 def next_run(t, target):
-    cutoff = incremental.lookback_literal(target, ROLLUP_DAY, LOOKBACK_DAYS)
+    cutoff = incremental.lookback_start(target, ROLLUP_DAY, LOOKBACK_DAYS).scalar()
     batch = history.generator_daily_since(t["generator_readings"], cutoff)
     return incremental.keyed_upsert(target, batch, [ROLLUP_KEY])
 
@@ -453,6 +465,16 @@ def incremental_idempotent(t):
     return stored_rollup_after_reruns(t)
 
 
+@query
+def rollup_from_empty_target(t):
+    """A first run before any reading had come, then one on all, stored by day."""
+    folder = work_dir(t.spark)
+    readings = staging.with_reading_days(t["generator_readings"])
+    refresh_generator_daily(readings.limit(0), f"{folder}/rollup")
+    refresh(readings, f"{folder}/readings", [staging.READ_DAY, staging.SYNC_DAY])
+    return refresh_generator_daily(read_table(t.spark, f"{folder}/readings"), f"{folder}/rollup")
+
+
 @query
 def rerun_evidence(t):
     return analyses.rerun_evidence(stored_rollup_after_reruns(t), ROLLUP_KEY)
@@ -545,8 +567,10 @@ def defect_profile(t):
 def stream_generator_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a file stream, through to the stored rollup."""
     folder = work_dir(spark)
-    raw = stream_tables(spark, sf_dir)["reading_stream"]
-    write_generator_daily(raw, f"{folder}/rollup", f"{folder}/checkpoint", availableNow=True).awaitTermination()
+    raw = stream_tables(spark, sf_dir)["generator_readings"]
+    write_generator_daily(
+        raw, f"{folder}/rollup", f"{folder}/readings", f"{folder}/checkpoint", availableNow=True
+    ).awaitTermination()
     return publish(read_table(spark, f"{folder}/rollup"))
 
 

@@ -78,7 +78,7 @@ def test_stored_history(spark, tmp_path):
     assert table.snapshot(after(spark), clock("2024-04-01")) == 2
     assert rows(table.read(), *SHOWN) == expected
     table.snapshot(source(spark, ("K9", "a", "2024-05-01")), clock("2024-05-01"))
-    (tmp_path / "h" / "v=3" / "_SUCCESS").rename(tmp_path / "h" / "v=3" / "_unfinished")
+    (tmp_path / "h" / "v=3" / "_schema").rename(tmp_path / "h" / "v=3" / "_unfinished")
     assert table.version() == 2
     assert rows(table.read(), *SHOWN) == expected
     assert table.snapshot(after(spark), clock("2024-06-01")) == 3

@@ -1,10 +1,11 @@
 from datetime import date
 from decimal import Decimal
 
+import pytest
 from conftest import rows, ts
 
 from asthen.plans import staging
-from asthen.sources.registry import SOURCES, level_zones, read_source
+from asthen.sources.registry import SOURCES, read_source
 
 
 def raw(spark, table, data):
@@ -100,10 +101,27 @@ def test_csv_sources_read_blanks_as_null(spark, tmp_path):
         ("RD-1", "GEN-1", None, None, False, 300), ("RD-2", "GEN-1", None, True, True, 8 * 86_400)]
 
 
-def test_level_zones(spark):
-    out = staging.stage_level_zones(level_zones(spark))
-    assert out.count() == 144
-    per_zone = rows(out.groupBy("zone_name", "supply_tier").count())
-    assert per_zone == [("Down Deep", 3, 44), ("Mids", 2, 80), ("Up Top", 1, 20)]
-    lifts = [r["level_number"] for r in out.filter("has_lift_access").orderBy("level_number").collect()]
-    assert lifts == [1, 12, 24, 34, 36, 48, 56, 60, 72, 84, 96, 108, 120, 132, 144]
+def test_level_zones(spark, tmp_path):
+    (tmp_path / "seeds").mkdir()
+    (tmp_path / "seeds" / "level_zones.csv").write_text(
+        "level_number,zone_name,supply_tier,has_lift_access\n1, Up Top ,1,true\n2,Mids,2,\n")
+    out = staging.stage_level_zones(read_source(spark, "level_zones", str(tmp_path)))
+    assert rows(out, "level_number", "zone_name", "supply_tier", "has_lift_access") == [
+        (1, "Up Top", 1, True), (2, "Mids", 2, False)]
+
+
+def test_csv_columns_in_another_order_are_refused(spark, tmp_path):
+    (tmp_path / "works_db").mkdir()
+    (tmp_path / "works_db" / "departments.csv").write_text(
+        "department_name,department_code,home_level,establishment_headcount\nMechanical,MECH,140,5\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_source(spark, "departments", str(tmp_path)).collect()
+
+
+def test_residents_equal_in_both_clocks_give_one_answer(spark):
+    schema = SOURCES["residents"].ddl
+    moment = ts("2024-01-01")
+    two = [("R", name, "x", None, "D", "active", moment, moment, moment, False) for name in ("a", "b")]
+    for data in (two, two[::-1]):
+        out = staging.stage_residents(spark.createDataFrame(data, schema).coalesce(1))
+        assert rows(out, "given_name") == [("b",)]

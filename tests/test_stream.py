@@ -21,7 +21,9 @@ def deliver(spark, folder, data):
 
 def run(spark, folder):
     raw = spark.readStream.schema(SCHEMA).parquet(str(folder / "in"))
-    write_generator_daily(raw, str(folder / "out"), str(folder / "checkpoint"), availableNow=True).awaitTermination()
+    write_generator_daily(
+        raw, str(folder / "out"), str(folder / "readings"), str(folder / "checkpoint"), availableNow=True
+    ).awaitTermination()
     return read_table(spark, str(folder / "out"))
 
 
@@ -46,10 +48,22 @@ def test_stream_equals_batch_with_late_and_repeated_readings(spark, tmp_path):
     assert rows(run(spark, tmp_path), *batch.columns) == rows(batch)
 
 
-def test_readings_older_than_the_watermark_are_not_counted(spark, tmp_path):
+def test_readings_older_than_the_lookback_are_not_counted(spark, tmp_path):
     deliver(spark, tmp_path, [("new", "g", "2024-03-01", "10", "2024-03-01")])
     run(spark, tmp_path)
     deliver(spark, tmp_path, [("old", "g", "2024-01-01", "10", "2024-03-01"),
                               ("recent", "g", "2024-02-20", "10", "2024-03-01")])
     days = [str(r[0]) for r in rows(run(spark, tmp_path), "reading_date")]
     assert days == ["2024-02-20", "2024-03-01"]
+
+
+def test_the_latest_sync_of_a_reading_wins_on_the_stream(spark, tmp_path):
+    deliver(spark, tmp_path, [("r", "g", "2024-03-02 10:00", "10", "2024-03-02 11:00"),
+                              ("s", "g", "2024-03-03 10:00", "7", "2024-03-03 11:00")])
+    run(spark, tmp_path)
+    # one corrected, one older than what is there, one moved to another day
+    deliver(spark, tmp_path, [("r", "g", "2024-03-02 10:00", "20", "2024-03-02 19:00"),
+                              ("s", "g", "2024-03-03 10:00", "1", "2024-03-03 10:30")])
+    out = run(spark, tmp_path)
+    assert [(str(d), float(v)) for d, v in rows(out, "reading_date", "avg_output_kw")] == [
+        ("2024-03-02", 20.0), ("2024-03-03", 7.0)]
