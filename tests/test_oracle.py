@@ -1,15 +1,16 @@
-"""Every registered query against its SQL in DuckDB."""
+"""Every query of the workload against its SQL in DuckDB."""
 
 import duckdb
 import pytest
 
 import __spark_entry__ as registered
+from asthen_workload import catalog, oracle
 from asthen_workload.bindings import TEST_TABLES
 
 SF = "/root/testdata/sf0.001"
 TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN", "date": "DATE",
          "timestamp_ntz": "TIMESTAMP"}
-QUERIES, ORACLE = registered.queries(), registered.oracle_sql()
+QUERIES, ORACLE = catalog.all_queries(), oracle.all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +24,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(registered.queries()) and set(ORACLE) <= set(registered.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)
