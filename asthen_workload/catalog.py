@@ -544,14 +544,32 @@ def dq_close_before_open(t):
     return project.close_before_open(staging.stage_maintenance_orders(t["maintenance_orders"]))
 
 
-def reported_checks() -> list[quality.Check]:
-    return [c for c in project.all_checks() if c.table in RAW_TABLES + REPORTED]
+def raw_tables(t):
+    return {n: t[n] for n in (*RAW_TABLES, "level_zones")}
 
 
 @query
 def dq_report(t):
-    staged = {m.name: m.build(t[m.inputs[0]]) for m in project.MODELS if m.name in REPORTED}
-    return quality.report({**{n: t[n] for n in RAW_TABLES}, **staged}, reported_checks())
+    """All checks, whatever the outcome of those above them."""
+    built = {
+        **{m.name: m.build(t[m.inputs[0]]) for m in project.MODELS if m.name in REPORTED},
+        "residents_by_level": residents_by_level(t),
+        "level_monthly_population": level_monthly_population(t),
+        "assignment_months": assignment_months(t),
+        "generator_daily": history.generator_daily(staging.stage_readings(t["generator_readings"])),
+        "level_monthly_occupancy": level_monthly_occupancy(t),
+        "department_monthly_staffing": department_monthly_staffing(t),
+    }
+    return quality.report({**raw_tables(t), **built}, project.all_checks())
+
+
+@query
+def project_run(t):
+    """The run over all models: what was built, what failed its checks, what was skipped below."""
+    outcomes = project.run_project(
+        t.spark, raw_tables(t), work_dir(t.spark), AS_OF_FRESHNESS, project.all_models(LO, HI)
+    )
+    return t.spark.createDataFrame([(o.model, o.status) for o in outcomes], "model string, status string")
 
 
 @query
