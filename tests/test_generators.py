@@ -182,3 +182,18 @@ def test_missing_output_is_neither_valid_nor_faulty(spark, value):
     assert rows(daily, "reading_count", "valid_reading_count", "faulty_reading_count", "avg_output_kw") == [
         (1, 0, 0, None)]
     assert daily.first()["last_synced_at"] == datetime(2024, 1, 1)
+
+
+def test_a_run_may_start_from_an_empty_target(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert refresh_generator_daily(readings(spark, []), path).count() == 0
+    out = refresh_generator_daily(readings(spark, hours("G1", range(1, 29))), path)
+    assert out.count() == 28
+
+
+def test_the_lookback_is_a_parameter(spark, tmp_path):
+    path = str(tmp_path / "t")
+    refresh_generator_daily(readings(spark, hours("G1", range(1, 29))), path)
+    late = readings(spark, hours("G1", range(1, 29)) + [("late", "G1", "2024-12-02 05:00", "9", "2024-12-28")])
+    assert refresh_generator_daily(late, path).filter("reading_count = 3").count() == 0
+    assert refresh_generator_daily(late, path, lookback_days=27).filter("reading_count = 3").count() == 1

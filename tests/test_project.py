@@ -7,6 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from asthen.plans.project import MODELS, all_checks, run_project, source_freshness
+from asthen.plans.project import all_models as project_models
 from asthen.sources.registry import SOURCES, read_sources
 
 AS_OF = datetime(2025, 1, 2)
@@ -114,3 +115,18 @@ def test_a_failed_check_stops_what_is_below(spark, tmp_path, raw):
 def test_freshness_of_the_readings(raw):
     assert rows(source_freshness(raw, AS_OF), "table_name", "age_seconds", "status") == [
         ("generator_readings", 13 * 3600, "warn")]
+
+
+def test_freshness_has_a_line_for_each_source_with_a_load_time(raw, monkeypatch):
+    from dataclasses import replace
+
+    from asthen.plans import project
+
+    two = {**SOURCES, "residents": replace(SOURCES["residents"], loaded_at="_synced_at", warn_hours=1, error_hours=2)}
+    monkeypatch.setattr(project, "SOURCES", two)
+    assert rows(source_freshness(raw, AS_OF), "table_name") == [("generator_readings",), ("residents",)]
+
+
+def test_the_months_of_a_run_are_a_parameter():
+    names = [m.name for m in project_models("2030-01-01", "2030-02-01")]
+    assert names == [m.name for m in MODELS]

@@ -1,3 +1,4 @@
+import pytest
 from conftest import rows, ts
 from pyspark.sql import functions as F
 
@@ -87,3 +88,19 @@ def test_stored_history(spark, tmp_path):
     table.expire(keep=1)
     assert rows(table.read(), *SHOWN) == expected
     assert sorted(p.parent.name for p in (tmp_path / "h").glob("v=*/open=1")) == ["v=3"]
+
+
+def test_a_first_snapshot_may_be_empty(spark, tmp_path):
+    table = HistoryTable(spark, str(tmp_path / "h"), "k", "updated_at")
+    assert table.snapshot(source(spark), clock("2024-01-01")) == 0
+    assert table.read().count() == 0 and "status" in table.read().columns
+    assert table.snapshot(source(spark, ("K1", "a", "2024-01-02")), clock("2024-01-03")) == 1
+    assert rows(table.read(), "k", "valid_to") == [("K1", None)]
+
+
+def test_the_open_versions_of_the_newest_run_are_never_expired(spark, tmp_path):
+    table = HistoryTable(spark, str(tmp_path / "h"), "k", "updated_at")
+    table.snapshot(source(spark, ("K1", "a", "2024-01-01")), clock("2024-01-02"))
+    with pytest.raises(ValueError, match="keep at least 1"):
+        table.expire(keep=0)
+    assert table.read().count() == 1
