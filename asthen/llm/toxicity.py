@@ -15,11 +15,11 @@ from asthen.llm.common import stored
 
 #: Features: n-grams of these lengths, in bytes, hashed to 2^BITS places.
 LENGTHS = (3, 4, 5, 6)
-BITS = 20
+BITS = 18
 #: Labelled rows the model is fitted on, at most; the ones with the least hashes of their ids.
-MAX_LABELLED = 24_576
+MAX_LABELLED = 12_288
 #: Features kept for the linear model: those that tell the classes apart best.
-FEATURES = 8_192
+FEATURES = 4_096
 #: Bytes of text whose n-grams are held at a time.
 CHUNK = 1 << 20
 
