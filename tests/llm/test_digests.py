@@ -191,3 +191,16 @@ def test_shards_are_balanced(spark):
     sums = got.groupby("shard")["size"].sum()
     assert len(sums) == 16
     assert sums.max() - sums.min() <= 2 * got["size"].max()
+
+
+def test_both_token_loops_give_the_same_ids():
+    import random
+
+    from asthen.llm.packing import encoder
+
+    encode, slow = encoder(PATH), Tokenizer.from_file(PATH)
+    rng = random.Random(6)
+    chars = [chr(c) for c in range(0x250)] + list("  \n\t'smtdrelv0123") * 12 + ["<|endoftext|>", "漢", " "]
+    for _ in range(3000):
+        text = "".join(rng.choices(chars, k=rng.randint(0, 40)))
+        assert encode(text).tolist() == slow.encode(text, add_special_tokens=False).ids, repr(text)
