@@ -338,21 +338,26 @@ def _entry_links(entries: DataFrame, least: float) -> DataFrame:
         parts.alias("parts"),
         (F.floor(F.coalesce(before, F.lit(0)) / BLOCK) + many).cast("int").alias("block"),
     )
+    # the blocks by list, as an array: null where the label has no vector in a list
+    by_list = F.map_from_entries(F.collect_list(F.struct("list", F.struct("block", "parts"))))
     plan = stored(
-        blocks.groupBy("label", "size").agg(
-            F.map_from_entries(F.collect_list(F.struct("list", F.struct("block", "parts")))).alias("map")
+        blocks.groupBy("label", "size")
+        .agg(by_list.alias("map"))
+        .select(
+            "label", "size",
+            F.transform(F.sequence(F.lit(0), F.lit(LISTS - 1)), lambda i: F.col("map")[i]).alias("map"),
         )
     )
-    mine = F.col("map")[F.col("list")]
+    mine = F.get("map", F.col("list"))
     dealt = placed.join(plan, ["label", "size"]).withColumn(
         "block", mine["block"] + F.pmod(F.xxhash64("rep"), mine["parts"]).cast("int")
     )
     # blocks with lists to probe, beyond the vector's own; of two blocks, the higher visits
     reached = F.flatten(
         F.transform(
-            F.filter("probes", lambda p: F.col("map")[p].isNotNull()),
+            F.filter("probes", lambda p: F.get("map", p).isNotNull()),
             lambda p: F.sequence(
-                F.col("map")[p]["block"], F.col("map")[p]["block"] + F.col("map")[p]["parts"] - 1
+                F.get("map", p)["block"], F.get("map", p)["block"] + F.get("map", p)["parts"] - 1
             ),
         )
     )
