@@ -136,16 +136,14 @@ def score_patterns(places: DataFrame) -> DataFrame:
     good, others begin at 0. In each round a pattern's score is the mean confidence of the
     instances around which it was met, and another instance gets 1 minus the product of the
     doubts in its patterns. All sums are grouped; an edge counts once however often it occurs.
+    All edges take part, as patterns without seeds score by the instances found so far;
+    MIN_INSTANCES and MIN_SCORE only select from the last round.
     """
     edges = stored(
         places.where("context != ''")
         .groupBy("k", "context", "instance")
         .agg(F.max("base").alias("base"))
     )
-    # a pattern that no seed has can't score; with those left out the graph stays small
-    seeded = edges.where("base").groupBy("k", "context").agg(F.count("*").alias("seeds"))
-    seeded = seeded.where(F.col("seeds") >= MIN_INSTANCES).select("k", "context")
-    edges = stored(edges.join(seeded, ["k", "context"]))
     instances = edges.groupBy("k", "instance").agg(F.max(F.col("base").cast("double")).alias("c"))
     for _ in range(ROUNDS):
         scores = (

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from asthen.llm import extraction, htmltrain, toxicity, urls
-from asthen.llm.pii import base_spans, find_pii
+from asthen.llm.pii import base_spans, find_pii, score_patterns
 
 KINDS = ["email", "ip", "card", "phone"]
 
@@ -80,6 +80,20 @@ def test_find_pii(spark):
     assert find_pii(docs.limit(0)).collect() == []
 
 
+def test_patterns_score_by_found_instances(spark):
+    rows = [(3, "call me", f"+1 319 555 {1000 + i}", True) for i in range(50)]
+    rows += [(3, c, f"319-555-{i}", False) for i in range(2000, 2008) for c in ("call me", "reach her")]
+    rows += [(3, "reach her", f"319-555-{i}", False) for i in (2008, 2009)]  # only by the second generation
+    rows += [(3, "ring at", f"+1 319 555 {1000 + i}", True) for i in range(4)]  # four seeds and eight found
+    rows += [(3, "ring at", f"319-555-{i}", False) for i in range(2000, 2008)]
+    rows += [(3, "few of", f"+1 319 555 {1000 + i}", True) for i in range(4)]  # too few of both
+    rows += [(3, "none of", f"319-556-{i}", False) for i in range(1000, 1020)]
+    rows += [(2, "reach her", f"319-555-{i}", False) for i in range(2000, 2008)]  # kinds are apart
+    places = spark.createDataFrame(rows * 2, "k int, context string, instance string, base boolean")
+    got = {(r.k, r.context) for r in score_patterns(places).collect()}
+    assert got == {(3, "call me"), (3, "reach her"), (3, "ring at")}
+
+
 def test_toxicity_by_held_out_rows(spark):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet").withColumn("score", F.lit(1))
