@@ -13,15 +13,18 @@ from pyspark.sql import functions as F
 
 from asthen.llm.common import stored
 
-#: Features: n-grams of these lengths, in bytes, hashed to 2^BITS places.
+#: Features: n-grams of these lengths, in bytes. They are first counted by 2^BITS hash places; the
+#: ones kept go by their whole 64-bit keys, which differ for any two n-grams.
 LENGTHS = (3, 4, 5, 6)
-BITS = 18
+BITS = 20
 #: Labelled rows the model is fitted on, at most; the ones with the least hashes of their ids.
-MAX_LABELLED = 12_288
+MAX_LABELLED = 24_576
 #: Features kept for the linear model: those that tell the classes apart best.
-FEATURES = 4_096
+FEATURES = 8_192
 #: Bytes of text whose n-grams are held at a time.
 CHUNK = 1 << 20
+#: Kept features whose sums are held at a time while fitting.
+BLOCK = 1 << 20
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -34,11 +37,12 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(key.cast("string"), "utf-8")) % 5 == 0, F.lit(False))
 
 
-def places(text: str | None, found: np.ndarray) -> np.ndarray:
-    """The places of all n-grams of a text, each once, ascending. `found` is scratch, all False.
+def _keys(text: str | None) -> Iterator[np.ndarray]:
+    """The 64-bit keys of all n-grams of a text, in turn; the upper BITS of a key are its place.
 
     A-Z is lower-cased, control characters are blanks, and a blank stands at either end. Long
-    texts are read in overlapping chunks; nothing is cut off.
+    texts are read in overlapping chunks; nothing is cut off. No folded byte is zero, so n-grams
+    of different lengths are different numbers, and multiplying by an odd one keeps them apart.
     """
     data = np.frombuffer((" " + (text or "") + " ").encode(), np.uint8)
     width = max(LENGTHS)
@@ -50,13 +54,50 @@ def places(text: str | None, found: np.ndarray) -> np.ndarray:
                 break
             gram = (gram[:-1] << np.uint64(8)) | part[n - 1 :]
             if n in LENGTHS:
-                place = (gram + np.uint64(n)) * _MIX
-                found[(place >> np.uint64(64 - BITS)).astype(np.int64)] = True
+                yield (gram + np.uint64(n)) * _MIX
+
+
+def _place(keys: np.ndarray) -> np.ndarray:
+    return (keys >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def places(text: str | None, found: np.ndarray) -> np.ndarray:
+    """The places of all n-grams of a text, each once, ascending. `found` is scratch, all False."""
+    for keys in _keys(text):
+        found[_place(keys)] = True
     out = np.flatnonzero(found)
     found[out] = False
     return out
 
 
+class Features:
+    """A set of n-grams, by ascending key. Places only rule n-grams out; whole keys decide, so no
+    other n-gram counts as a feature however long a text is."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        place = _place(keys)
+        self.slot = np.full(1 << BITS, -1, np.int32)
+        self.slot[place[::-1]] = np.arange(len(keys), dtype=np.int32)[::-1]  # the first at a place
+        self.most = int(np.unique(place, return_counts=True)[1].max(initial=0))
+        self.found = np.zeros(len(keys), bool)
+
+    def of(self, text: str | None) -> np.ndarray:
+        """The numbers of the features in a text, each once, ascending."""
+        for keys in _keys(text):
+            at = self.slot[_place(keys)]
+            some = np.flatnonzero(at >= 0)
+            at, keys = at[some], keys[some]
+            for _ in range(self.most):
+                hit = self.keys[at] == keys
+                self.found[at[hit]] = True
+                rest = ~hit & (at + 1 < len(self.keys))
+                at, keys = at[rest] + 1, keys[rest]
+        out = np.flatnonzero(self.found)
+        self.found[out] = False
+        return out
+
+
 def _texts(batch: pa.RecordBatch) -> Iterator[str | None]:
     return (x.as_py() for x in batch.column("text"))
 
@@ -77,15 +118,39 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
+def _count_keys(place: np.ndarray):
+    """Rows with each n-gram at the given places by class, summed over the batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.zeros(1 << BITS, bool)
+        wanted[place] = True
+        for batch in batches:
+            got: list[list[np.ndarray]] = [[np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]]
+            for label, text in zip(batch.column("label").to_pylist(), _texts(batch)):
+                own = [np.unique(keys[wanted[_place(keys)]]) for keys in _keys(text)]
+                got[label].append(np.unique(np.concatenate(own)) if own else got[0][0])
+            for label, lists in enumerate(got):
+                keys, n = np.unique(np.concatenate(lists), return_counts=True)
+                none = np.zeros(len(n), np.int64)
+                counts = (none, n) if label else (n, none)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys.view(np.int64)), *(pa.array(c) for c in counts)],
+                    names=["key", "clean", "toxic"],
+                )
+
+    return run
+
+
 @dataclass
 class Model:
-    """Weights by place, zero where a feature is not in the model."""
+    """The keys of the features, ascending, and their weights."""
 
+    keys: np.ndarray
     weights: np.ndarray
     bias: float
 
-    def score(self, text: str | None, found: np.ndarray) -> float:
-        z = self.bias + self.weights[places(text, found)].sum()
+    def score(self, text: str | None, features: Features) -> float:
+        z = self.bias + self.weights[features.of(text)].sum()
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
@@ -108,10 +173,22 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label
     return rows.join(F.broadcast(picked), "id").select("text", "label", "order")
 
 
+def _best(seen, totals) -> tuple[np.ndarray, np.ndarray]:
+    """(rows of `seen` that tell the classes apart best, log-count ratios of all)."""
+    clean, toxic = (seen[c].to_numpy(np.float64) for c in ("clean", "toxic"))
+    p = (toxic + 1) / (totals["toxic"] + 2)
+    q = (clean + 1) / (totals["clean"] + 2)
+    # how far the shares of rows with the feature lie apart, in standard errors
+    share = (toxic + clean + 1) / (totals.sum() + 2)
+    spread = np.sqrt(share * (1 - share) * (1 / totals["toxic"] + 1 / totals["clean"]))
+    return np.sort(np.argsort(-np.abs(p - q) / spread, kind="stable")[:FEATURES]), np.log(p / q)
+
+
 def fit(rows: DataFrame, steps: int = 300, rate: float = 0.05, decay: float = 1e-4) -> Model:
     """A model from (text, label, order); without both classes, a constant one.
 
-    Counts of the n-grams by class give each feature its log-count ratio r; presence of a
+    The places that tell the classes apart best are found first, then the n-grams at these are
+    counted by class. The counts give each feature its log-count ratio r; presence of a
     feature counts as r, and a logistic regression (Adam over all rows at once, in a fixed order)
     weighs these. The driver holds the counts of 2^BITS places and the kept features of
     MAX_LABELLED rows.
@@ -121,47 +198,51 @@ def fit(rows: DataFrame, steps: int = 300, rate: float = 0.05, decay: float = 1e
     # places seen in two rows or less tell nothing
     seen = seen.where("place < 0 or clean + toxic > 2").toPandas().sort_values("place")
     totals = seen[seen["place"] < 0][["clean", "toxic"]].sum()
-    weights = np.zeros(1 << BITS)
     if not totals["clean"] or not totals["toxic"]:
         p = (totals["toxic"] + 0.01) / (totals.sum() + 1)  # nothing is toxic without a label
-        return Model(weights, float(np.log(p / (1 - p))))
+        return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(p / (1 - p))))
     seen = seen[seen["place"] >= 0]
-    clean, toxic = (seen[c].to_numpy(np.float64) for c in ("clean", "toxic"))
-    p = (toxic + 1) / (totals["toxic"] + 2)
-    q = (clean + 1) / (totals["clean"] + 2)
-    ratio = np.log(p / q)
-    # how far the shares of rows with the feature lie apart, in standard errors
-    share = (toxic + clean + 1) / (totals.sum() + 2)
-    spread = np.sqrt(share * (1 - share) * (1 / totals["toxic"] + 1 / totals["clean"]))
-    best = np.sort(np.argsort(-np.abs(p - q) / spread, kind="stable")[:FEATURES])
-    place, ratio = seen["place"].to_numpy()[best], ratio[best]
-    index, offsets, y = _design(rows, place)
-    w, b = np.zeros(len(place)), 0.0
-    m, v = np.zeros(len(place) + 1), np.zeros(len(place) + 1)
-    row = np.repeat(np.arange(len(y)), np.diff(offsets))
-    values = ratio[index]
+    place = seen["place"].to_numpy()[_best(seen, totals)[0]]
+    seen = rows.mapInArrow(_count_keys(place), "key long, clean long, toxic long").groupBy("key")
+    seen = seen.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    seen = seen.where("clean + toxic > 2").toPandas()
+    seen["key"] = seen["key"].to_numpy().view(np.uint64)
+    seen = seen.sort_values("key")
+    best, ratio = _best(seen, totals)
+    keys, ratio = seen["key"].to_numpy()[best], ratio[best]
+    index, offsets, y = _design(rows, keys)
+    w, b = np.zeros(len(keys)), 0.0
+    m, v = np.zeros(len(keys) + 1), np.zeros(len(keys) + 1)
+    blocks, lo = [], 0
+    while lo < len(y):  # whole rows with about BLOCK kept features together
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + BLOCK, side="right")) - 1)
+        blocks.append((lo, min(hi, len(y))))
+        lo = blocks[-1][1]
     for step in range(1, steps + 1):
-        z = np.bincount(row, values * w[index], len(y)) + b
-        error = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - y
-        grad = np.bincount(index, values * error[row], len(place)) / len(y) + decay * w
-        grad = np.append(grad, error.mean())
+        grad, bias, scaled = np.zeros(len(keys)), 0.0, w * ratio
+        for lo, hi in blocks:
+            part = index[offsets[lo] : offsets[hi]]
+            sizes = np.diff(offsets[lo : hi + 1])
+            sums = np.append(0.0, np.cumsum(scaled[part]))
+            z = sums[offsets[lo + 1 : hi + 1] - offsets[lo]] - sums[offsets[lo:hi] - offsets[lo]] + b
+            error = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - y[lo:hi]
+            grad += np.bincount(part, np.repeat(error, sizes), len(keys))
+            bias += error.sum()
+        grad = np.append(grad * ratio / len(y) + decay * w, bias / len(y))
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
-    weights[place] = w * ratio
-    return Model(weights, float(b))
+    return Model(keys, w * ratio, float(b))
 
 
-def _design(rows: DataFrame, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The kept features of each row, as numbers in `place`, rows in a fixed order."""
-    number = np.full(1 << BITS, -1, np.int32)
-    number[place] = np.arange(len(place), dtype=np.int32)
-    shared = rows.sparkSession.sparkContext.broadcast(number)  # 2^BITS numbers
+def _design(rows: DataFrame, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The features of each row, as numbers in `keys`, rows in a fixed order."""
+    shared = rows.sparkSession.sparkContext.broadcast(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros(1 << BITS, bool)
+        features = Features(shared.value)
         for batch in batches:
-            kept = [n[n >= 0].tobytes() for n in (shared.value[places(t, found)] for t in _texts(batch))]
+            kept = [features.of(t).astype(np.int32).tobytes() for t in _texts(batch)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("order"), batch.column("label"), pa.array(kept, pa.binary())],
                 names=["order", "label", "kept"],
@@ -176,18 +257,15 @@ def _design(rows: DataFrame, place: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def scorer(docs: DataFrame, model: Model):
-    """A column function that scores every whole text; the model's features are broadcast."""
-    place = np.flatnonzero(model.weights)
-    small = docs.sparkSession.sparkContext.broadcast((place, model.weights[place], model.bias))
+    """A column function that scores every whole text; the model is broadcast."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.keys, model.weights, model.bias))
 
     @F.arrow_udf("double")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        place, kept, bias = small.value
-        weights, found = np.zeros(1 << BITS), np.zeros(1 << BITS, bool)
-        weights[place] = kept
-        mine = Model(weights, bias)
+        mine = Model(*shared.value)
+        features = Features(mine.keys)
         for texts in batches:
-            yield pa.array([mine.score(t.as_py(), found) for t in texts], pa.float64())
+            yield pa.array([mine.score(t.as_py(), features) for t in texts], pa.float64())
 
     return run
 

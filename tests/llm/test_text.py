@@ -284,6 +284,24 @@ def test_segmentation_is_the_best_of_all_splits():
     assert urls.segment("cheappills", counts, 1000) == ["cheap", "pills"]
 
 
+def test_long_varied_clean_texts_switch_on_no_other_feature():
+    import numpy as np
+
+    rng = random.Random(11)
+    text = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(150_000))
+    # no n-gram of the text has a digit, and each of these shares its place with one that has none
+    taken = np.zeros(1 << toxicity.BITS, bool)
+    taken[toxicity.places(text, np.zeros(1 << toxicity.BITS, bool))] = True
+    other = np.concatenate([k for k in toxicity._keys("".join(rng.choices("0123456789", k=30_000)))])
+    other = np.unique(other[taken[toxicity._place(other)]])
+    assert len(other) > 1000
+    model = toxicity.Model(other, np.ones(len(other)), -5.0)
+    assert model.score(text, toxicity.Features(other)) < 0.01
+    own = np.unique(np.concatenate(list(toxicity._keys("some clean words"))))
+    both = toxicity.Features(np.union1d(other, own))
+    assert (both.keys[both.of("Some CLEAN\twords")] == own).all() and not both.found.any()
+
+
 def test_pipeline_stages(spark):
     """Each stage does to its input what its operator says, and nothing else."""
     import corpus_pipeline as p
