@@ -29,11 +29,16 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
-# What may be an identifier: a word with a digit or an @, and number words right behind it.
-_CANDIDATE = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?: \(?[0-9][0-9().-]*+)*+")
+# What may be or begin an identifier: a word that begins with X or *, or has one of 0-9 @ : * [ (.
+_WORD = re.compile(r"(?<!\S)(?:[^\s\w*@]*+[Xx*]|[^\s0-9@:*\[(]*+[0-9@:*\[(])\S*+")
+# A word of a number, without the signs that may end it, and what else may stand up to a blank.
+_NUMBER = re.compile(r"\(?[0-9Xx*](?:[().-]{0,3}[0-9Xx*]){0,40}+")
+_TAIL = re.compile(r"[-.,;:!?\"'()\[\]{}<>]*+(?!\S)")
+_BLANKS = re.compile(r"[().-]?  ?(?=\(?[0-9Xx*])")
 _EDGE = ".,;:!?\"'()[]{}<>"
+_SIGNS = frozenset("0123456789Xx*")
+_LEAD = _EDGE.replace("(", "")
 _SHAPES = {
-    "email": re.compile(r"[^\s@]+(?:@|\[at\]|\(at\))[^\s@]+"),
     "ip": re.compile(r"(?:[0-9]{1,3}[.:-]){3}[0-9]{1,3}|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){3,7}"),
     "card": re.compile(r"(?:[0-9Xx*][ .-]?){12,19}"),
     "phone": re.compile(r"\(?[0-9](?:[ ().-]{0,2}[0-9]){6,14}"),
@@ -89,8 +94,100 @@ def _context(text: str, start: int) -> str:
     return " ".join(cleaned)
 
 
-def _kinds(token: str) -> list[int]:
-    return [k for k, kind in enumerate(KINDS) if _SHAPES[kind].fullmatch(token)]
+def _is_email(token: str) -> bool:
+    """Text, one of @ [at] (at), text; without an @ besides."""
+    if "@" in token:
+        return token.count("@") == 1 and token[0] != "@" != token[-1]
+    return any(0 < token.find(sign, 1) < len(token) - 4 for sign in ("[at]", "(at)"))
+
+
+def _number_ends(text: str, start: int, stop: int, inside: bool) -> list[int]:
+    """Ends of the number words from `start` on that lie before `stop`, while a number may go on;
+    only of the first word if that is `inside` another number."""
+    ends, at, signs = [], start, 0
+    while signs < 19 and (word := _NUMBER.match(text, at)):
+        if word.end() > stop or not _TAIL.match(text, word.end()):
+            break
+        ends.append(word.end())
+        signs += sum(c in _SIGNS for c in word[0])
+        blanks = None if inside else _BLANKS.match(text, word.end())
+        if not blanks:
+            break
+        at = blanks.end()
+    return ends
+
+
+def _card_end(text: str, start: int, ends: list[int]) -> int | None:
+    """A card number of one word ends there. Of others, one that passes Luhn's test, then one of
+    equal groups, then the longest is taken, as other numbers may follow."""
+    fits = [e for e in ends if _SHAPES["card"].fullmatch(text, start, e)]
+    if not fits or fits[0] == ends[0]:
+        return fits[0] if fits else None
+
+    def rank(end: int) -> tuple[bool, bool, int]:
+        digits = re.sub("[ .-]", "", text[start:end])
+        groups = {len(w) for w in text[start:end].split()}
+        return digits.isdecimal() and _luhn(digits), len(groups) == 1, end
+
+    return max(fits, key=rank)
+
+
+def _phone_end(text: str, start: int, ends: list[int]) -> int | None:
+    """A phone number ends with a word that is joined by signs or is all of it, or with its tenth
+    digit's word; numbers behind are others. A shorter one goes as far as it can."""
+    end, last = None, start
+    for e in ends:
+        if _SHAPES["phone"].fullmatch(text, start, e):
+            end = e
+            word = text[last:e].strip(" ().-")
+            if last == start or not word.isdigit() or sum(c.isdigit() for c in text[start:e]) >= 10:
+                break
+        last = e
+    return end
+
+
+def _candidates(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
+    """(start, kind number, end) of the places with a kind's shape that touch no base span."""
+    at, done = 0, 0
+    for m in _WORD.finditer(text):
+        word = m[0].lstrip(_LEAD)
+        start = m.end() - len(word)
+        token = word.rstrip(_LEAD)
+        while at < len(base) and base[at][2] <= start:
+            at += 1
+        stop = base[at][0] if at < len(base) else len(text)
+        if not token or start >= stop:
+            continue
+        end = start + len(token)
+        if end <= stop:
+            plain = token.lstrip(_EDGE)
+            if plain and _is_email(plain):
+                yield end - len(plain), 0, end
+            if plain and _SHAPES["ip"].fullmatch(plain):
+                yield end - len(plain), 1, end
+        number = start + len(token) - len(token.lstrip("("))
+        if number >= end or text[number] not in _SIGNS:
+            continue
+        # inside a number only what is whole by itself begins another
+        inside = number < done
+        ends = _number_ends(text, number, stop, inside)
+        if not ends:
+            continue
+        card = _card_end(text, number, ends)
+        phone = None
+        if text[number] not in "Xx*":
+            bracket = max(start, number - 1)
+            phone = _phone_end(text, bracket, ends)
+            # the first groups of a longer card number of equal groups aren't a phone number
+            groups = {len(w) for w in text[number : card or number].split()}
+            if phone and card and phone < card and len(groups) == 1 and phone not in ends[:1]:
+                phone = None
+        if card:
+            yield number, 2, card
+            done = max(done, card)
+        if phone and not (inside and sum(c.isdigit() for c in token) < 10):
+            yield bracket, 3, phone
+            done = max(done, phone)
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,20 +206,11 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  "base": True}
                 for s, k, e in base
             ]
-            at = 0
-            for m in _CANDIDATE.finditer(text):
-                lead = len(m[0]) - len(m[0].lstrip(_EDGE.replace("(", "")))
-                token = m[0].strip(_EDGE.replace("(", ""))
-                start, end = m.start() + lead, m.start() + lead + len(token)
-                while at < len(base) and base[at][2] <= start:
-                    at += 1
-                if any(s < end for s, _, _ in base[at : at + 1]):
-                    continue  # touches a base span
-                rows += [
-                    {"s": start, "k": k, "e": end, "context": _context(text, start),
-                     "instance": token.lower(), "base": False}
-                    for k in _kinds(token)
-                ]
+            rows += [
+                {"s": s, "k": k, "e": e, "context": _context(text, s), "instance": text[s:e].lower(),
+                 "base": False}
+                for s, k, e in _candidates(text, base)
+            ]
             out.append(rows)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(out, kind_of)], names=["doc_id", "places"]

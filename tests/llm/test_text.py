@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from asthen.llm import extraction, htmltrain, toxicity, urls
-from asthen.llm.pii import base_spans, find_pii, score_patterns
+from asthen.llm.pii import _candidates, base_spans, find_pii, score_patterns
 
 KINDS = ["email", "ip", "card", "phone"]
 
@@ -80,6 +80,33 @@ def test_find_pii(spark):
     assert find_pii(docs.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("text, want", [
+    ("call me 319-555-1234 2024 12 now", "phone 319-555-1234"),
+    ("call me 319-555-1234 20 times", "phone 319-555-1234"),
+    ("call me (319) 555-1234 20 times", "phone (319) 555-1234"),
+    ("call me 319 555 1234 20 times", "phone 319 555 1234"),
+    ("call me 0800 123 4567 now", "phone 0800 123 4567"),
+    ("call me 2024 319-555-1234.", "phone 319-555-1234"),
+    ("pay by 4111 1111 1111 1111 20 times", "card 4111 1111 1111 1111"),
+    ("pay by 4111-1111-1111-1112 2024", "card 4111-1111-1111-1112"),
+    ("pay by XXXX XXXX XXXX 1234, please", "card XXXX XXXX XXXX 1234"),
+    ("pay by ****-****-****-1234.", "card ****-****-****-1234"),
+    ("mail john[at]example.com now", "email john[at]example.com"),
+    ("mail (john(at)example.com), now", "email john(at)example.com"),
+    ("from dead:beef::cafe on", "ip dead:beef::cafe"),
+])
+def test_candidates_end_where_the_identifier_does(text, want):
+    base = base_spans(text)
+    assert not base
+    assert want in {f"{KINDS[k]} {text[s:e]}" for s, k, e in _candidates(text, base)}
+
+
+def test_candidates_are_linear_in_long_runs():
+    for text in ("[at]" * 100_000 + "@", "1 " * 100_000, "1" * 300_000, "(" * 300_000, "X " * 50_000,
+                 "1-" * 200_000, "1." + "." * 300_000, "* " * 50_000, "((1) " * 50_000):
+        list(_candidates(text, []))
+
+
 def test_patterns_score_by_found_instances(spark):
     rows = [(3, "call me", f"+1 319 555 {1000 + i}", True) for i in range(50)]
     rows += [(3, c, f"319-555-{i}", False) for i in range(2000, 2008) for c in ("call me", "reach her")]
