@@ -70,7 +70,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of all base matches, sorted; ends are exclusive."""
     found = [(s, 0, e) for s, e in _emails(text)]
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p.lstrip("0")) < 4 and int(p.lstrip("0") or "0") <= 255 for p in m[0].split(".")):
             found.append((m.start(), 1, m.end()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() > 11:

@@ -44,6 +44,11 @@ def test_base_rules_equal_the_plain_patterns():
         assert base_spans(text) == brute_spans(text), text
 
 
+def test_ip_parts_may_have_any_number_of_zeros():
+    assert base_spans("0" * 5000 + ".1.1.1") == [(0, 1, 5006)]
+    assert base_spans("0" * 5000 + "256.1.1.1") == []
+
+
 def test_base_rules_are_linear_in_long_runs():
     for text in ("a" * 300_000, "1" * 300_000, "1." * 200_000, "a@" * 200_000, "+1" * 200_000,
                  "1 " * 200_000, "+1" + "(" * 300_000, "@" * 300_000):
