@@ -261,9 +261,30 @@ def one_of_each(
     docs: DataFrame, words: int = 3, distance: int = 2, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """The rows of `docs`, whole, with one row for each group of near duplicates: that of the least
-    key. Of rows that share this key one stays. Rows with a null key can't be told apart and all
-    stay."""
-    groups = simhash_components(docs, words, distance, key, text)
-    kept = groups.where(F.col(key) == F.col("component_id")).select(F.col(key)).distinct()
-    named = docs.where(F.col(key).isNotNull()).join(kept, key, "left_semi").dropDuplicates([key])
-    return named.select(docs.columns).union(docs.where(F.col(key).isNull()))
+    key, then of the least fingerprint. Groups are of fingerprints, so different texts under one
+    key are apart; of rows that share key and fingerprint one stays. Rows with a null key can't be
+    told apart and all stay."""
+    number = F.col(key).cast("long")
+    named = docs.where(number.isNotNull())
+    prints = stored(fingerprints(named, words, key, text))
+    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("doc_id")))
+    groups = link_fingerprints(distinct.select(F.col("fp").alias("doc_id"), "fp"), distance)
+    kept = distinct.join(groups, "fp").groupBy("component_id")
+    kept = kept.agg(F.min(F.struct("doc_id", "fp")).alias("least")).select("least.*")
+    counts = prints.groupBy("doc_id").agg(F.count("*").alias("n"))
+    kept = stored(kept.join(counts, "doc_id").withColumnsRenamed({"doc_id": "_key", "fp": "_fp"}))
+    once, again = kept.where("n = 1").select("_key"), kept.where("n > 1").select("_key", "_fp")
+
+    @F.arrow_udf("long")
+    def print_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            found = [fingerprint(t.as_py() or "", words) for t in texts]
+            yield pa.array(np.array(found, np.uint64).view(np.int64))
+
+    # only rows of repeated keys are told apart by their fingerprints
+    rows = named.withColumn("_key", number)
+    single = rows.join(once, "_key", "left_semi").select(docs.columns)
+    rows = rows.join(again.select("_key").distinct(), "_key", "left_semi")
+    rows = rows.withColumn("_fp", print_of(F.col(text))).join(again, ["_key", "_fp"], "left_semi")
+    rows = rows.dropDuplicates(["_key", "_fp"]).select(docs.columns)
+    return single.union(rows).union(docs.where(number.isNull()))

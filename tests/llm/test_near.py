@@ -205,3 +205,17 @@ def test_against_sql(spark, name):
     columns = sorted(want.columns)
     assert sorted(got.columns) == columns
     assert sorted(map(tuple, got[columns].values)) == sorted(map(tuple, want[columns].values))
+
+
+def test_texts_under_one_key_are_apart(spark):
+    from asthen.llm.simhash import one_of_each
+
+    rng = random.Random(5)
+    a, b, c, d = (" ".join(prose(rng, 200)) for _ in range(4))
+    texts = [(1, a), (2, a), (2, b), (3, c), (3, c), (3, d), (4, d), (None, a), (None, a), (5, b)]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(texts)], "doc_id long, text string, row int")
+    got = one_of_each(docs)
+    assert got.columns == docs.columns
+    want = [(1, a), (2, b), (3, c), (3, d), (None, a), (None, a)]
+    assert sorted(map(str, want)) == sorted(str((r.doc_id, r.text)) for r in got.collect())
+    assert one_of_each(docs.limit(0)).collect() == []
