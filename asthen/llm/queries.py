@@ -12,9 +12,12 @@ from asthen.llm.common import table
 from asthen.llm.decontamination import contained_items
 from asthen.llm.embeddings import near_vectors
 from asthen.llm.extraction import extract
+from asthen.llm.hardnegatives import hard_negatives
 from asthen.llm.linededup import dedup_lines
 from asthen.llm.packing import pack
 from asthen.llm.pii import find_pii
+from asthen.llm.quality import quality
+from asthen.llm.runs import run_digests
 from asthen.llm.sharding import shard_by_bytes
 from asthen.llm.simhash import simhash_components
 from asthen.llm.toxicity import toxicity
@@ -83,6 +86,20 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), least=0.3)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, moved = table(spark, sf_dir, "embeddings"), (F.col("label") + 1) % 10
+    vectors = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, moved).otherwise(F.col("label")))
+    return hard_negatives(vectors, anchors=F.col("vec_id") % 100 == 0)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(table(spark, sf_dir, "documents"), plant=True)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_url_filters,
@@ -95,6 +112,9 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_toxicity,
         op9_sharding,
         op10_html_extraction,
+        op11_quality_classifier,
+        op12_hard_negatives,
+        op13_periodic_runs,
     )
     return {f.__name__: f for f in found}
 
@@ -150,8 +170,38 @@ SELECT e.vec_id, coalesce(c.n, 0) AS n_links, l.component_id, e.vec_id = l.compo
 FROM embeddings e JOIN least l ON l.a = e.vec_id LEFT JOIN counts c ON c.a = e.vec_id
 """
 
+_HARD_NEGATIVES = """
+WITH usable AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scores AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+        CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+    FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE a.vec_id % 100 = 0
+),
+positives AS (
+    SELECT anchor_id, id, score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, p.id AS positive_id,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+    n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n ON n.anchor_id = p.anchor_id AND NOT n.same
+    AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) <= 10
+"""
+
 
 def all_sql() -> dict[str, str]:
     """The others use trained models, hash bits, token ids or positions, which SQL can't express;
     their tests hold them against brute force."""
-    return {"op4_decontamination": _DECONTAMINATION, "op5_embedding_near_dedup": _EMBEDDINGS}
+    return {
+        "op4_decontamination": _DECONTAMINATION,
+        "op5_embedding_near_dedup": _EMBEDDINGS,
+        "op12_hard_negatives": _HARD_NEGATIVES,
+    }

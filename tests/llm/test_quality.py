@@ -1,0 +1,123 @@
+"""The quality classifier: features and solver against brute force, held-out rows of the given tables."""
+
+import numpy as np
+import pytest
+
+from asthen.llm import quality as Q
+from asthen.llm.quality import Features, Grams, dual_coordinate_descent, quality, sigmoid_fit
+
+SF = "/root/testdata/sf0.1"
+
+
+def hinge(w, b, x, y, cost):
+    return w @ w / 2 + b * b / 2 + cost * np.maximum(0, 1 - y * (x @ w + b)).sum()
+
+
+def test_solver_reaches_the_least_loss():
+    dice = np.random.default_rng(3)
+    x = dice.random((60, 8)) < 0.4
+    values = dice.normal(size=8)
+    y = np.where(x[:, 0] | (dice.random(60) < 0.2), 1.0, -1.0)
+    rows = [np.flatnonzero(r) for r in x]
+    w, b = dual_coordinate_descent(rows, values, y, cost=0.3, passes=3000, tolerance=1e-9)
+    dense = x * values
+    best = hinge(w, b, dense, y, 0.3)
+    for _ in range(3000):  # no other point near it, or near the origin, is lower
+        dw, db = dice.normal(size=8), dice.normal()
+        size = 10 ** dice.uniform(-5, 0.5)
+        assert hinge(w + size * dw, b + size * db, dense, y, 0.3) >= best - 1e-4
+
+
+def test_grams_by_hand():
+    words = lambda t: list(Grams().of(t))[4]
+    a, b = words("the cat the"), words("a long text about the cat")
+    assert a[0] == a[2] == b[4] and a[1] == b[5] and len(set(b)) == 6
+    repeats = lambda t: list(Grams().of(t))[-1].tolist()
+    assert repeats("x y x") == [] and repeats("x x y") == [2]
+    assert repeats("a " * 7) == [2, 3, 4, 6]
+    assert len(Grams().distinct("")) > 0  # the blanks around it
+
+
+def test_chunks_change_nothing(monkeypatch):
+    text = " ".join(f"w{i * 7919 % 503} {'y' * (i % 40)}" for i in range(400))
+    whole = set(Grams().distinct(text).tolist())
+    for size in (64, 100, 1000):
+        monkeypatch.setattr(Q, "CHUNK", size)
+        assert set(Grams().distinct(text).tolist()) == whole
+    monkeypatch.setattr(Q, "CHUNK", 32)
+    assert len(Grams().distinct("z" * 500)) > 0  # a word longer than a chunk
+
+
+def test_present_is_exact():
+    keys = Grams().distinct("some words that are features")[::3]
+    text = "words that are something else"
+    want = np.flatnonzero(np.isin(keys, Grams().distinct(text)))
+    assert Features(keys).present(text).tolist() == want.tolist()
+    assert Features(keys[:0]).present(text).tolist() == []
+
+
+def test_sigmoid():
+    dice = np.random.default_rng(5)
+    margins = dice.normal(size=4000) * 2
+    label = (dice.random(4000) < 1 / (1 + np.exp(-(1.5 * margins - 0.7)))).astype(int)
+    slope, offset = sigmoid_fit(margins, label)
+    assert abs(slope - 1.5) < 0.15 and abs(offset + 0.7) < 0.15
+    assert sigmoid_fit(-margins, label)[0] == 0.0
+
+
+@pytest.fixture(scope="module")
+def scored(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    return quality(docs, labels).join(labels, "doc_id").toPandas()
+
+
+def test_held_out_rows(scored):
+    apart = scored[scored.held_out]
+    good, junk = apart[apart.quality == 1], apart[apart.quality == 0]
+    assert (good.predicted == 1).mean() > 0.99  # clean documents stay
+    assert (junk.predicted == 0).mean() > 0.9
+    assert ((scored.score >= 0.3) == (scored.predicted == 1)).all()
+
+
+def test_scores_are_probabilities(scored):
+    apart = scored[scored.held_out]
+    assert apart.score.between(0, 1).all()
+    assert abs(apart.score.mean() - apart.quality.mean()) < 0.03
+
+
+AWKWARD = [
+    (1, "a fine text of many words that reads well", "x", 5),
+    (2, "junk$$$ junk$$$ junk$$$", "x", 5),
+    (3, None, "x", 5),
+    (4, "", None, None),
+    (None, "a fine text", "x", 5),
+    (1, "a fine text of many words that reads well", "x", 5),
+    (1, "junk$$$", "x", 5),
+    (6, "lang " * 60_000, "x", 5),
+]
+
+
+def test_awkward_rows(spark):
+    docs = spark.createDataFrame(AWKWARD, "doc_id long, text string, label string, order int")
+    labels = spark.createDataFrame(
+        [(1, 1), (2, 0), (2, 0), (3, 1), (3, 0), (None, 1), (6, None), (99, 7)],
+        "doc_id long, quality int",
+    )
+    got = quality(docs, labels).collect()
+    assert len(got) == len(AWKWARD)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got)
+    assert [r.held_out for r in got if r.doc_id is None] == [False]
+    twice = sorted(r.score for r in got if r.doc_id == 1)
+    assert len(twice) == 3 and len(set(twice)) <= 2
+    none = quality(docs, labels.limit(0)).collect()
+    assert {r.score for r in none} == {0.5}
+    assert quality(docs.limit(0), labels).count() == 0
+
+
+def test_labels_of_the_held_out_part_teach_nothing(spark):
+    docs = spark.read.parquet(f"{SF.replace('0.1', '0.001')}/documents.parquet").limit(150)
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as quality")
+    apart = Q.held_out(docs["doc_id"])
+    turned = docs.select("doc_id", Q.F.when(apart, 1 - docs.doc_id % 2).otherwise(docs.doc_id % 2).cast("int").alias("quality"))
+    first = {r.doc_id: r.score for r in quality(docs, labels).collect()}
+    assert first == {r.doc_id: r.score for r in quality(docs, turned).collect()}

@@ -1,0 +1,135 @@
+"""Runs of words against brute force, and the query's digests."""
+
+import zlib
+from hashlib import sha256
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from asthen.llm import queries
+from asthen.llm.runs import Extensions, lyndon_array, periodic_runs, run_digests, word_runs
+
+WORDS = st.lists(st.sampled_from("abc"), max_size=40)
+PERIODIC = st.lists(
+    st.tuples(st.lists(st.sampled_from("abcd"), min_size=1, max_size=6), st.integers(1, 6)), max_size=8
+).map(lambda parts: [w for part, times in parts for w in part * times])
+
+
+def brute_runs(words):
+    """Every stretch that keeps a period and can't be extended, with no smaller period."""
+    found = set()
+    for q in range(1, len(words) // 4 + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            size = j + q - i
+            if j > i and size >= max(6, 4 * q):
+                part = words[i : i + size]
+                if not any(part[p:] == part[:-p] for p in range(1, q)):
+                    found.add((i, size, q))
+            i = max(j, i + 1)
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def brute_lyndon(s):
+    out = []
+    for i in range(len(s)):
+        k = i + 1
+        while k < len(s) and s[k:] > s[i:]:
+            k += 1
+        out.append(k - i)
+    return out
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.integers(0, 3), min_size=1, max_size=30))
+def test_lyndon_array_under_both_orders(ranks):
+    assert lyndon_array(np.array(ranks)).tolist() == brute_lyndon(ranks)
+    turned = [3 - r for r in ranks]
+    assert lyndon_array(np.array(turned)).tolist() == brute_lyndon(turned)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.one_of(WORDS, PERIODIC))
+def test_runs(words):
+    assert word_runs([w.encode() for w in words]) == brute_runs(words)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 2), min_size=2, max_size=40), st.data())
+def test_extensions(ranks, data):
+    b = data.draw(st.integers(1, len(ranks) - 1))
+    a = data.draw(st.integers(0, b - 1))
+    reach = Extensions(np.array(ranks, np.int64))
+    right = left = 0
+    while b + right < len(ranks) and ranks[a + right] == ranks[b + right]:
+        right += 1
+    while a - left > 0 and ranks[a - left - 1] == ranks[b - left - 1]:
+        left += 1
+    assert reach.right(np.array([a]), np.array([b])).tolist() == [right]
+    assert reach.left(np.array([a]), np.array([b])).tolist() == [left]
+
+
+def brute_row(key, text):
+    text = text or ""
+    for c in "\t\n\x0b\x0c\r":
+        text = text.replace(c, " ")
+    words = [w for w in text.split(" ") if w]
+    h = zlib.crc32(str(key).encode()) if key is not None else 1
+    if h % 10 == 0 and words:
+        g, n = h // 10, len(words)
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    runs = brute_runs(words)
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    best = max(runs, key=lambda r: (r[1] / r[2], -r[0], -r[2])) if runs else None
+    four = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+    lines = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+    kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+    return (key, len(runs), *four, sha256(lines.encode()).hexdigest(), sha256(kept.encode()).hexdigest())
+
+
+def test_query_on_whole_documents(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    short = [r for r in docs if len(r.text or "") < 4000]  # brute force squares
+    got = {r[0]: tuple(r) for r in queries.op13_periodic_runs(spark, sf).collect()}
+    assert len(got) == len(docs) and len(short) > 100
+    assert all(got[r.doc_id] == brute_row(r.doc_id, r.text) for r in short)
+    assert any(t[1] for t in got.values())
+
+
+def test_awkward_rows(spark):
+    texts = [
+        (1, None, "a", 1, 2),
+        (2, "", "a", 1, 2),
+        (3, " \t\n", None, None, None),
+        (None, "x " * 9, "a", 1, 2),
+        (4, "one", "a", 1, 2),
+        (4, "one", "a", 1, 2),
+        (5, "a b c " * 6, "a", 1, 2),  # a no-break space is no ASCII white space
+        (7, "é 漢 " * 8 + "X x X x X x X x", "a", 1, 2),
+        (-12, "la " * 30 + "lo " * 5, "a", 1, 2),
+    ]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, key string, runs int, start int")
+    got = sorted(map(tuple, run_digests(docs, plant=True).collect()), key=str)
+    assert got == sorted((brute_row(*t[:2]) for t in texts), key=str)
+    assert run_digests(docs.limit(0)).count() == 0
+    whole = {r.doc_id: r for r in periodic_runs(docs).collect() if r.doc_id in (7, 1)}
+    assert whole[7].collapsed == "é 漢 X x" and whole[7].n_words == 24
+    assert [tuple(x) for x in whole[7].runs] == [(0, 16, 2), (16, 8, 2)]
+    assert whole[1].runs == [] and whole[1].collapsed == ""
+
+
+def test_long_texts():
+    assert word_runs([b"x"] * 100_000) == [(0, 100_000, 1)]
+    words = [b"%d" % i for i in range(9_000)]
+    assert word_runs(words * 5 + words[:70]) == [(0, 45_070, 9_000)]
+    a, b = [b"a"], [b"a", b"b"]
+    while len(b) < 50_000:  # Fibonacci words hold no fourth powers
+        a, b = b, b + a
+    assert word_runs(b) == []
