@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from asthen.functions import month_of
 
@@ -27,40 +28,86 @@ def months_between(first: Column, last: Column) -> Column:
 
 # --- intervals from events -----------------------------------------------------
 
+# Events of one key that a task orders, about; a key with twice as many is cut by time.
+SLICE_ROWS = 1_000_000
+# Sampled events for each slice, and cuts of a key at most.
+SLICE_SAMPLE, MOST_CUTS = 200, 1_000
+# Events that Spark estimates to take fewer bytes have no key worth cutting and aren't sampled.
+SMALL_BYTES = 64 << 20
+
+
+def _cuts(events: DataFrame, key: str, at: str, tie: str, slice_rows: int, small_bytes: int) -> DataFrame | None:
+    """One row per key to be cut: the ascending (time, tie) at which its next slices begin."""
+    size = events._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) < small_bytes:
+        return None
+    share = min(1.0, SLICE_SAMPLE / slice_rows)
+    order = Window.partitionBy("_key").orderBy(F.col("_at").asc_nulls_last(), F.col("_tie").asc())
+    sample = events.select(F.col(key).alias("_key"), F.col(at).alias("_at"), F.col(tie).alias("_tie"))
+    nth = F.row_number().over(order)
+    found = (
+        sample.sample(share, seed=11)
+        .withColumn("_nth", nth)
+        .filter((F.col("_nth") % SLICE_SAMPLE == 0) & F.col("_at").isNotNull())
+        .drop("_nth")
+    )
+    # one row per SLICE_ROWS events of a frequent key; literal from here on, so every use agrees
+    cuts: dict = {}
+    for one, time, last in sorted(found.collect(), key=lambda r: (r[1], r[2] is not None, r[2])):
+        cuts.setdefault(one, []).append((time, last))
+    if not cuts:
+        return None
+    thinned = [(k, c[:: -(-len(c) // MOST_CUTS)]) for k, c in cuts.items()]
+    inner = T.StructType(found.schema.fields[1:])
+    schema = T.StructType([found.schema["_key"], T.StructField("_cuts", T.ArrayType(inner))])
+    return events.sparkSession.createDataFrame(thinned, schema)
+
 
 def event_intervals(
-    events: DataFrame, key: str, at: str, tie: str, valid_to: str = "valid_to", first: str | None = None
+    events: DataFrame, key: str, at: str, tie: str, valid_to: str = "valid_to", first: str | None = None,
+    slice_rows: int = SLICE_ROWS, small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
     """Each event lasts until the key's next one; the last stays open (null). `first`, if named,
     is a column that marks each key's first event.
 
-    Every key's events are cut by calendar day: rows are ordered within a day, and the
-    day's last row takes its end from the start of the key's next day. The days' starts are
-    summed per task and ordered among themselves, at most one row per key and day, so no task
-    orders all events of a frequent key. Events without a time sort last, null keys are a
-    key like any other. Two passes over the events, whatever their number.
+    The events are exchanged once, by key, and ordered in their tasks. A key with very many, as a
+    sample tells, is cut along its time into slices of about `slice_rows`, which go to tasks of
+    their own; only the start of each slice is then carried to the last event of the slice
+    before it. Events without a time sort last, null keys are a key like any other.
     """
-    day = F.to_date(at)
-    own = Window.partitionBy(key, "_day").orderBy(F.col(at).asc_nulls_last(), F.col(tie).asc())
-    rows = events.withColumn("_day", day).withColumns(
-        {"_next": F.lead(at).over(own), "_nth": F.row_number().over(own)}
+    cuts = _cuts(events, key, at, tie, slice_rows, small_bytes)
+    order = [F.col(at).asc_nulls_last(), F.col(tie).asc()]
+    if cuts is None:
+        whole = Window.partitionBy(key).orderBy(*order)
+        out = events.withColumn(valid_to, F.lead(at).over(whole))
+        return out.withColumn(first, F.row_number().over(whole) == 1) if first else out
+
+    before = F.filter("_cuts", lambda c: c <= F.struct(F.col(at).alias("_at"), F.col(tie).alias("_tie")))
+    place = F.when(F.col("_cuts").isNull(), 0).otherwise(
+        F.size(F.when(F.col(at).isNull(), F.col("_cuts")).otherwise(before))
+    )
+    sliced = (
+        events.join(cuts, F.col(key).eqNullSafe(F.col("_key")), "left")
+        .withColumn("_slice", place)
+        .withColumn("_is_cut", F.col("_cuts").isNotNull())
+        .drop("_key", "_cuts")
     )
-    order = Window.partitionBy("_key").orderBy(F.col("_of").asc_nulls_last())
-    days = (
-        events.groupBy(F.col(key).alias("_key"), day.alias("_of"))
+    own = Window.partitionBy(key, "_slice").orderBy(*order)
+    rows = sliced.withColumns({"_next": F.lead(at).over(own), "_nth": F.row_number().over(own)})
+    # one row per slice of the keys that were cut
+    along = Window.partitionBy("_key").orderBy("_of")
+    carried = (
+        sliced.filter("_is_cut")
+        .groupBy(F.col(key).alias("_key"), F.col("_slice").alias("_of"))
         .agg(F.min(at).alias("_start"))
-        .select(
-            "_key", "_of",
-            F.lead("_start").over(order).alias("_next_start"),
-            (F.row_number().over(order) == 1).alias("_first_day"),
-        )
+        .select("_key", "_of", F.lead("_start").over(along).alias("_carried"),
+                (F.row_number().over(along) > 1).alias("_later"))
     )
-    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_day").eqNullSafe(F.col("_of"))
-    # every event has its day, so the join is inner
-    joined = rows.join(days, same).withColumn(valid_to, F.coalesce("_next", "_next_start"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_of")) & F.col("_is_cut")
+    joined = rows.join(carried, same, "left").withColumn(valid_to, F.coalesce("_next", "_carried"))
     if first:
-        joined = joined.withColumn(first, F.col("_first_day") & (F.col("_nth") == 1))
-    return joined.drop("_day", "_next", "_nth", "_key", "_of", "_next_start", "_first_day")
+        joined = joined.withColumn(first, (F.col("_nth") == 1) & ~F.coalesce("_later", F.lit(False)))
+    return joined.drop("_slice", "_is_cut", "_next", "_nth", "_key", "_of", "_carried", "_later")
 
 
 # --- months --------------------------------------------------------------------

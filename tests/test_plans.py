@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from asthen.operators.intervals import event_intervals
 from asthen.plans import staging
 from asthen.plans.history import generator_daily_since
 from asthen.plans.rollup import refresh_generator_daily
@@ -121,10 +122,24 @@ def test_a_rerun_reads_the_days_looked_back_only(spark, tmp_path):
     assert rows(again) == before
 
 
-def test_events_are_read_twice_and_cut_by_day(t):
+def test_events_are_read_and_exchanged_once(t):
     text = tree(catalog.QUERIES["event_intervals"](t))
-    assert text.count("FileScan parquet") == 2
-    assert "partial_min" in text and re.search(r"Window .*\[o_custkey#\d+L?, _day#\d+\]", text)
+    assert text.count("FileScan parquet") == 1 and len(re.findall(r"\bExchange ", text)) == 1
+    assert "Join" not in text
+
+
+def test_a_frequent_key_is_cut_and_only_slice_starts_are_carried(spark):
+    """The events are exchanged once, by key and slice; what else moves is one row per slice and
+    task, and it is joined where the events are."""
+    events = spark.range(0, 6_000, 1, 3).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+        F.timestamp_seconds(F.col("id") * 977 % 5_000).cast("timestamp_ntz").alias("at"), "id")
+    out = event_intervals(events, "k", "at", "id", slice_rows=200, small_bytes=0)
+    text = tree(out)
+    assert re.search(r"Window .*\[k#\d+L?, _slice#\d+\]", text)
+    moved = re.findall(r"Exchange hashpartitioning\(k#\d+L?, _slice#\d+.*\n[^\w]*(\w+)", text)
+    assert sorted(moved) == ["HashAggregate", "Project"]  # slice starts, summed first, and events
+    assert "partial_min" in text and "SortAggregate" not in text and out.count() == 6_000
 
 
 @pytest.fixture
@@ -134,11 +149,6 @@ def no_broadcast(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_no_task_orders_all_moves_of_a_person(t, no_broadcast):
-    text = tree(catalog.QUERIES["dwelling_history"](t))
-    assert re.search(r"Window .*\[resident_id#\d+, _day#\d+\]", text)
-
-
 def test_a_crowded_dwelling_is_split(spark, t, no_broadcast):
     """Row-level joins leave skew to AQE: the crowded partition is read in parts."""
     from asthen.plans import history, staging
