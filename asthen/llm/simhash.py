@@ -273,7 +273,9 @@ def one_of_each(
     kept = kept.agg(F.min(F.struct("doc_id", "fp")).alias("least")).select("least.*")
     counts = prints.groupBy("doc_id").agg(F.count("*").alias("n"))
     kept = stored(kept.join(counts, "doc_id").withColumnsRenamed({"doc_id": "_key", "fp": "_fp"}))
-    once, again = kept.where("n = 1").select("_key"), kept.where("n > 1").select("_key", "_fp")
+    rows, unkeyed = named.withColumn("_key", number), docs.where(number.isNull())
+    if kept.where("n > 1").isEmpty():  # the texts move once, and no fingerprint is made again
+        return rows.join(kept, "_key", "left_semi").select(docs.columns).union(unkeyed)
 
     @F.arrow_udf("long")
     def print_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -281,10 +283,11 @@ def one_of_each(
             found = [fingerprint(t.as_py() or "", words) for t in texts]
             yield pa.array(np.array(found, np.uint64).view(np.int64))
 
-    # only rows of repeated keys are told apart by their fingerprints
-    rows = named.withColumn("_key", number)
-    single = rows.join(once, "_key", "left_semi").select(docs.columns)
-    rows = rows.join(again.select("_key").distinct(), "_key", "left_semi")
-    rows = rows.withColumn("_fp", print_of(F.col(text))).join(again, ["_key", "_fp"], "left_semi")
-    rows = rows.dropDuplicates(["_key", "_fp"]).select(docs.columns)
-    return single.union(rows).union(docs.where(number.isNull()))
+    # rows of repeated keys are told apart by their fingerprints; written before anything filters
+    # these, so they are made once
+    keys = kept.groupBy("_key").agg((F.max("n") > 1).alias("_again"))
+    marked = stored(rows.join(keys, "_key"))
+    again = stored(marked.where("_again").withColumn("_fp", print_of(F.col(text))))
+    again = again.join(kept, ["_key", "_fp"], "left_semi").dropDuplicates(["_key", "_fp"])
+    single = marked.where("not _again").select(docs.columns)
+    return single.union(again.select(docs.columns)).union(unkeyed)

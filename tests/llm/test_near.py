@@ -219,3 +219,14 @@ def test_texts_under_one_key_are_apart(spark):
     want = [(1, a), (2, b), (3, c), (3, d), (None, a), (None, a)]
     assert sorted(map(str, want)) == sorted(str((r.doc_id, r.text)) for r in got.collect())
     assert one_of_each(docs.limit(0)).collect() == []
+
+
+def test_fingerprints_are_made_once(spark, monkeypatch):
+    """Without repeated keys the rows kept come from one semi-join, without Python."""
+    from asthen.llm.simhash import one_of_each
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    out = one_of_each(docs)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and plan.count("text#") > 0
+    assert out.count() <= docs.count()
