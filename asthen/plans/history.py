@@ -170,22 +170,27 @@ def assignment_months(
     )
 
 
+def daily_measures() -> dict[str, Column]:
+    """What is measured per generator and day. Nulled outputs stay out."""
+    return {
+        "reading_count": F.count("*"),
+        "valid_reading_count": F.count("output_kw"),
+        "faulty_reading_count": F.count_if("is_faulty_reading"),
+        "avg_output_kw": exact_mean(F.col("output_kw"), 2),
+        "min_output_kw": F.round(F.min("output_kw"), 2),
+        "max_output_kw": F.round(F.max("output_kw"), 2),
+        "avg_temperature_c": exact_mean(F.col("temperature_c"), 2),
+        "max_vibration_mm_s": F.round(F.max("vibration_mm_s"), 3),
+        "last_synced_at": F.max("synced_at"),
+    }
+
+
 def generator_daily(readings: DataFrame) -> DataFrame:
-    """One row per generator and day. Nulled outputs stay out of the measures."""
+    """One row per generator and day."""
     day = F.to_date("read_at")
     return (
         readings.groupBy("generator_id", day.alias("reading_date"))
-        .agg(
-            F.count("*").alias("reading_count"),
-            F.count("output_kw").alias("valid_reading_count"),
-            F.count_if("is_faulty_reading").alias("faulty_reading_count"),
-            exact_mean(F.col("output_kw"), 2).alias("avg_output_kw"),
-            F.round(F.min("output_kw"), 2).alias("min_output_kw"),
-            F.round(F.max("output_kw"), 2).alias("max_output_kw"),
-            exact_mean(F.col("temperature_c"), 2).alias("avg_temperature_c"),
-            F.round(F.max("vibration_mm_s"), 3).alias("max_vibration_mm_s"),
-            F.max("synced_at").alias("last_synced_at"),
-        )
+        .agg(*[measure.alias(name) for name, measure in daily_measures().items()])
         .select(
             surrogate_key(F.col("generator_id"), F.col("reading_date")).alias("generator_day_id"), "*"
         )

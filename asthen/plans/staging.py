@@ -122,12 +122,13 @@ def stage_departments(departments: DataFrame) -> DataFrame:
     )
 
 
-def clean_readings(readings: DataFrame) -> DataFrame:
-    """Impossible outputs become null but the reading stays, so a faulty sensor is not
+def clean_readings(readings: DataFrame, *keep: str) -> DataFrame:
+    """The readings, with the columns named in `keep` besides. Impossible outputs become null but the reading stays, so a faulty sensor is not
     taken for an outage; is_faulty_reading is null where no output arrived."""
     output = text_as(F.col("output_kw"), "decimal(12,2)")
     read_at, synced_at = F.col("read_at").cast("timestamp_ntz"), F.col("_synced_at").cast("timestamp_ntz")
     return readings.select(
+        *keep,
         text("reading_id"),
         clean_string(F.col("generator_id"), "upper").alias("generator_id"),
         read_at.alias("read_at"),

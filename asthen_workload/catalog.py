@@ -18,6 +18,7 @@ from asthen.plans import analyses, history, marts, project, staging
 from asthen.plans.rollup import LOOKBACK_DAYS, ROLLUP_DAY, ROLLUP_KEY, refresh_generator_daily
 from asthen.sources.registry import SOURCES
 from asthen.sources.tables import read_table, refresh, work_dir
+from asthen.streaming.daily import write_closed_days, write_daily_deliveries
 from asthen.streaming.rollup import write_generator_daily
 from asthen_workload.bindings import HI, LO, RAW_TABLES, Tables, stream_tables
 
@@ -592,6 +593,21 @@ def stream_generator_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish(read_table(spark, f"{folder}/rollup"))
 
 
+def streamed(write, change=lambda raw: raw) -> Callable[[SparkSession, str], DataFrame]:
+    """A stream of the events as raw readings, through state to a stored table."""
+
+    def run_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = work_dir(spark)
+        raw = change(stream_tables(spark, sf_dir)["generator_readings"])
+        write(raw, f"{folder}/days", f"{folder}/checkpoint", availableNow=True).awaitTermination()
+        return publish(read_table(spark, f"{folder}/days"))
+
+    return run_stream
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {**{name: run(build) for name, build in QUERIES.items()},
-            "stream_generator_daily": stream_generator_daily}
+            "stream_generator_daily": stream_generator_daily,
+            "stream_closed_days": streamed(write_closed_days),
+            # every delivery comes twice
+            "stream_daily_deliveries": streamed(write_daily_deliveries, lambda raw: raw.union(raw))}
