@@ -36,25 +36,33 @@ def exists(spark: SparkSession, path: str) -> bool:
 SCHEMA_FILE = "_schema"
 
 
-def save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    fs, file = _fs(spark, f"{path}/{SCHEMA_FILE}")
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, file = _fs(spark, path)
     out = fs.create(file, True)
     try:
-        out.write(bytearray(schema.json().encode()))
+        out.write(bytearray(text.encode()))
     finally:
         out.close()
 
 
-def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    fs, file = _fs(spark, f"{path}/{SCHEMA_FILE}")
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, file = _fs(spark, path)
     if not fs.exists(file):
         return None
     stream = fs.open(file)
     try:
-        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
-    return T.StructType.fromJson(json.loads(text))
+
+
+def save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    _write_text(spark, f"{path}/{SCHEMA_FILE}", schema.json())
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    text = _read_text(spark, f"{path}/{SCHEMA_FILE}")
+    return T.StructType.fromJson(json.loads(text)) if text else None
 
 
 def newest_partition(spark: SparkSession, path: str, column: str) -> date | None:
@@ -69,7 +77,7 @@ def work_dir(spark: SparkSession) -> str:
     """A new folder in the shared one the cluster names in spark.checkpoint.dir."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors reach")
         shared = tempfile.mkdtemp(prefix="asthen-")
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
@@ -79,14 +87,18 @@ def table_path(root: str, layer: str, name: str) -> str:
     return f"{root}/{layer}/{name}"
 
 
-def refresh(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Replace the whole table."""
+def _write(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     # rebalance: one file per small partition, several for a large one
     rows = df.hint("rebalance", *partition_by) if partition_by else df
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+
+
+def refresh(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Replace the whole table."""
+    _write(df, path, partition_by)
     save_schema(df.sparkSession, path, df.schema)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
@@ -147,16 +159,21 @@ def upsert(
 
 
 class HistoryTable:
-    """Type-2 history on storage, rewritten in part.
-
-    v=N/open=1 holds the versions open after run N, v=N/open=0 those run N closed. The
-    history at N is v=N/open=1 plus v<=N/open=0, so a run writes the open versions and
-    the newly closed ones, never the closed past. The schema file of v=N, written after
-    its rows, publishes it; a run that failed before is repeated into the same folder.
+    """Type-2 history on storage, of which a run writes what changed.
+
+    Keys are spread over buckets by hash. v=N/open=1/bucket=b holds the bucket's versions open
+    after run N, for buckets in which run N changed something; v=N/open=0 holds the versions run N
+    closed. The history at N is the newest open=1 of each bucket plus v<=N/open=0. A run compares
+    keys and change times first, and then reads and writes whole rows of the changed buckets
+    only. The schema file of v=N, written after its rows and its list of buckets, publishes
+    it; a run that failed before is repeated into the same folder.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: str, updated_at: str):
-        self.spark, self.path, self.key, self.updated_at = spark, path, key, updated_at
+    BUCKETS_FILE = "_buckets"
+
+    def __init__(self, spark: SparkSession, path: str, key: str, updated_at: str, buckets: int = 64):
+        """`buckets` counts at the first run; a table keeps the number it began with."""
+        self.spark, self.path, self.key, self.updated_at, self.buckets = spark, path, key, updated_at, buckets
 
     def version(self) -> int | None:
         """Newest committed run."""
@@ -167,40 +184,89 @@ class HistoryTable:
         done = [int(r.rsplit("=", 1)[1]) for r in runs if exists(self.spark, f"{r}/{SCHEMA_FILE}")]
         return max(done, default=None)
 
+    def _written(self, version: int) -> list[int]:
+        """For each bucket, the run that last wrote its open versions."""
+        return json.loads(_read_text(self.spark, f"{self.path}/v={version}/{self.BUCKETS_FILE}"))
+
     def _rows(self, version: int) -> DataFrame:
         """All files, with the columns of a run; columns are only ever added."""
         schema = T.StructType([*stored_schema(self.spark, f"{self.path}/v={version}").fields])
         schema = schema.add("v", T.IntegerType())
         return self.spark.read.schema(schema).parquet(self.path).select(*schema.names)
 
+    def _newest(self, version: int, buckets: Sequence[int] | None = None) -> str:
+        """The condition on a run's open versions, of some buckets or all: literals, so scans prune
+        folders."""
+        by_run: dict[int, list[int]] = {}
+        for bucket, run in enumerate(self._written(version)):
+            if buckets is None or bucket in buckets:
+                by_run.setdefault(run, []).append(bucket)
+        of_run = [f"(v = {run} and bucket in ({', '.join(map(str, some))}))" for run, some in by_run.items()]
+        return f"(open = 1 and ({' or '.join(of_run) or 'false'}))"
+
+    def _open(self, version: int, buckets: Sequence[int] | None = None) -> DataFrame:
+        return self._rows(version).filter(self._newest(version, buckets)).drop("v", "open")
+
+    def files(self) -> tuple[T.StructType, tuple[str, ...], str]:
+        """What a catalog needs to show the newest run: all columns, the partitions, the condition."""
+        version = self.version()
+        condition = f"{self._newest(version)} or (open = 0 and v <= {version})"
+        return self._rows(version).schema, ("v", "open", "bucket"), condition
+
     def read(self) -> DataFrame:
         version = self.version()
         if version is None:
             raise FileNotFoundError(f"no committed run at {self.path}")
-        still_open = (F.col("v") == version) & (F.col("open") == 1)
-        closed = (F.col("v") <= version) & (F.col("open") == 0)
-        return self._rows(version).filter(still_open | closed).drop("v", "open")
+        return self._rows(version).filter(self.files()[2]).drop("v", "open", "bucket")
+
+    def _changed(self, version: int, source: DataFrame) -> list[int]:
+        """Buckets where a key is new, gone or has a newer change time; keys and times alone move."""
+        old = self._open(version).select(F.col(self.key).alias("_old"), F.col("valid_from").alias("_from"),
+                                         F.col("bucket").alias("_bucket"))
+        new = source.select(F.col(self.key).alias("_new"), F.col(self.updated_at).alias("_at"), "bucket")
+        both = old.join(new, F.col("_old") == F.col("_new"), "full_outer")
+        differs = F.col("_bucket").isNull() | F.col("bucket").isNull() | (F.col("_at") > F.col("_from"))
+        touched = both.filter(differs).select(F.coalesce("bucket", "_bucket")).distinct()
+        return sorted(r[0] for r in touched.collect())  # a line for each bucket at most
 
     def snapshot(self, source: DataFrame, as_of: Column) -> int:
         """Take one snapshot of the source; returns the run it committed."""
         version = self.version()
+        count = self.buckets if version is None else len(self._written(version))
+        bucket = F.pmod(F.xxhash64(self.key), F.lit(count)).cast("int")
+        source = source.withColumn("bucket", bucket)
         if version is None:
-            run, versions = 0, scd2_first_load(source, self.key, self.updated_at)
+            run, written = 0, [0] * count
+            versions = scd2_first_load(source, self.key, self.updated_at)
         else:
-            run = version + 1
-            still_open = self._rows(version).filter((F.col("v") == version) & (F.col("open") == 1))
-            still_open = with_new_columns(still_open.drop("v", "open"), source)
-            versions = scd2_changes(still_open, source, self.key, self.updated_at, as_of)
+            run, changed = version + 1, self._changed(version, source)
+            written = [run if b in changed else r for b, r in enumerate(self._written(version))]
+            still_open = with_new_columns(self._open(version, changed), source)
+            versions = scd2_changes(
+                still_open, source.filter(F.col("bucket").isin(changed)), self.key, self.updated_at, as_of
+            )
         versions = versions.withColumn("open", F.col("valid_to").isNull().cast("int"))
-        refresh(versions, f"{self.path}/v={run}", ["open"])
+        folder = f"{self.path}/v={run}"
+        if run in written:
+            _write(versions, folder, ["open", "bucket"])
+        elif exists(self.spark, folder):  # left by a run that failed
+            fs, leftover = _fs(self.spark, folder)
+            fs.delete(leftover, True)
+        _write_text(self.spark, f"{folder}/{self.BUCKETS_FILE}", json.dumps(written))
+        save_schema(self.spark, folder, versions.schema)
         return run
 
     def expire(self, keep: int = 2) -> None:
-        """Delete the open versions of all but the newest `keep` runs, which no read needs;
-        what the runs closed stays."""
+        """Delete open versions that none of the newest `keep` runs reads; what runs closed stays."""
         if keep < 1:
             raise ValueError("the newest run's open versions are the table; keep at least 1")
         newest = self.version()
-        for run in range(0, (newest or 0) - keep + 1):
+        if newest is None:
+            return
+        oldest = max(newest - keep + 1, 0)
+        needed = {(r, b) for n in range(oldest, newest + 1) for b, r in enumerate(self._written(n))}
+        for run in range(oldest):
             fs, folder = _fs(self.spark, f"{self.path}/v={run}/open=1")
-            fs.delete(folder, True)
+            for status in fs.listStatus(folder) if fs.exists(folder) else []:
+                if (run, int(status.getPath().getName().split("=")[1])) not in needed:
+                    fs.delete(status.getPath(), True)

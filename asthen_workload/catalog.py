@@ -17,7 +17,7 @@ from asthen.operators.rows import earliest_per_key, latest_per_key, latest_since
 from asthen.plans import analyses, history, marts, project, staging
 from asthen.plans.rollup import LOOKBACK_DAYS, ROLLUP_DAY, ROLLUP_KEY, refresh_generator_daily
 from asthen.sources.registry import SOURCES
-from asthen.sources.tables import read_table, refresh, work_dir
+from asthen.sources.tables import HistoryTable, read_table, refresh, work_dir
 from asthen.streaming.daily import write_closed_days, write_daily_deliveries
 from asthen.streaming.rollup import write_generator_daily
 from asthen_workload.bindings import HI, LO, RAW_TABLES, Tables, stream_tables
@@ -500,6 +500,15 @@ def scd2_merge(t):
     )
 
 
+@query
+def scd2_stored(t):
+    """The same two states through the stored history, and a third run in which nothing changed."""
+    table = HistoryTable(t.spark, f"{work_dir(t.spark)}/assignment_history", "assignment_id", "updated_at")
+    for name in ("assignments_before", "assignments_after", "assignments_after"):
+        table.snapshot(t[name], moment(AS_OF_SNAPSHOT))
+    return table.read()
+
+
 # --- checks --------------------------------------------------------------------------------
 
 

@@ -87,7 +87,43 @@ def test_stored_history(spark, tmp_path):
 
     table.expire(keep=1)
     assert rows(table.read(), *SHOWN) == expected
-    assert sorted(p.parent.name for p in (tmp_path / "h").glob("v=*/open=1")) == ["v=3"]
+
+
+def test_a_run_writes_the_buckets_it_changes(spark, tmp_path):
+    """Of 2,000 keys three change: a new version, a key that goes and one that comes."""
+    def state(changed, gone, come):
+        ids = [i for i in range(2_000) if i not in gone] + come
+        return source(spark, *[(f"K{i}", "b" if i in changed else "a",
+                                "2024-02-01" if i in changed else "2024-01-01") for i in ids])
+
+    def files(run):
+        return {str(p.relative_to(tmp_path / "h")): p.stat().st_size
+                for p in (tmp_path / "h" / f"v={run}").rglob("*.parquet")}
+
+    table = HistoryTable(spark, str(tmp_path / "h"), "k", "updated_at", buckets=50)
+    first = state((), (), [])
+    table.snapshot(first, clock("2024-01-02"))
+    before = files(0)
+    assert len(before) == 50
+    second = state((7,), (8,), [5_000])
+    assert table.snapshot(second, clock("2024-03-01")) == 1
+    after = files(1)
+    opened = {p.split("/")[2] for p in after if "/open=1/" in p}
+    assert 1 <= len(opened) <= 3 and sum(after.values()) < 0.2 * sum(before.values()) and files(0) == before
+    merged = merge(scd2_first_load(first, "k", "updated_at"), second, "2024-03-01")
+    assert rows(table.read(), *SHOWN) == rows(merged, *SHOWN)
+    # nothing changed: no rows are read whole or written
+    assert table.snapshot(second, clock("2024-04-01")) == 2
+    assert files(2) == {} and rows(table.read(), *SHOWN) == rows(merged, *SHOWN)
+    # old open versions go once no kept run reads them
+    table.expire(keep=1)
+    assert {p.split("/")[2] for p in files(0)} == {p.split("/")[2] for p in before} - opened
+    assert rows(table.read(), *SHOWN) == rows(merged, *SHOWN)
+    # everything changes, with a new column
+    third = state(range(2_000), (), []).withColumn("grade", F.lit(1))
+    assert HistoryTable(spark, str(tmp_path / "h"), "k", "updated_at").snapshot(third, clock("2024-05-01")) == 3
+    again = merge(merged, third, "2024-05-01")
+    assert rows(table.read(), *SHOWN, "grade") == rows(again, *SHOWN, "grade")
 
 
 def test_a_first_snapshot_may_be_empty(spark, tmp_path):
