@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from asthen.functions import seconds_between
@@ -102,31 +102,88 @@ class Check:
         raise ValueError(f"unknown check kind {self.kind!r}")
 
 
+GROUPING = ("unique", "unique_combination", "accepted_values")
+
+
+def _line(check: Check, violations: Column) -> Column:
+    return F.struct(
+        F.lit(check.name).alias("check_name"), F.lit(check.severity).alias("severity"),
+        violations.alias("violations"),
+    )
+
+
+def _one_grouping(df: DataFrame, on_rows: Sequence[Check], grouped: Sequence[Check]) -> DataFrame:
+    """All checks of a table that count groups, with those on single rows, as grouping sets of one
+    aggregate: the table is computed once and its groups are exchanged once."""
+    columns = list(dict.fromkeys(c for check in grouped for c in check.columns))
+    sets = list(dict.fromkeys(check.columns for check in grouped)) + ([()] if on_rows else [])
+    on_row = [F.count_if(c.row_condition()).alias(f"_rows{i}") for i, c in enumerate(on_rows)]
+    groups = df.groupingSets([list(s) for s in sets], *columns).agg(
+        F.grouping_id().alias("_set"), F.count("*").alias("_n"), *on_row
+    )
+
+    def of(columns_of_set: tuple[str, ...]) -> Column:
+        # a bit is set for each column left out, the first column's the highest
+        left_out = "".join("0" if c in columns_of_set else "1" for c in columns)
+        return F.col("_set") == int(left_out, 2)
+
+    def violates(check: Check) -> Column:
+        column = F.col(check.columns[0])
+        if check.kind == "accepted_values":
+            return ~column.isin(*check.options["values"])
+        return (F.col("_n") > 1) & (column.isNotNull() if check.kind == "unique" else F.lit(True))
+
+    lines = [_line(c, F.coalesce(F.sum(F.when(of(()), F.col(f"_rows{i}"))), F.lit(0)))
+             for i, c in enumerate(on_rows)]
+    lines += [_line(c, F.count_if(of(c.columns) & violates(c))) for c in grouped]
+    return groups.agg(F.array(*lines).alias("_lines")).select(F.inline("_lines"))
+
+
 def count_violations(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """(check_name, severity, violations) for all checks of one table.
 
-    Conditions on single rows share one pass over the table, whatever their number;
-    a check that groups has its own.
+    Conditions on single rows and checks that count groups share one pass over the table, whatever
+    their number; only a check given as a function has its own.
     """
     on_rows = [c for c in checks if c.row_condition() is not None]
+    grouped = [c for c in checks if c.kind in GROUPING]
     parts = []
-    if on_rows:
-        one_pass = df.agg(*[F.count_if(c.row_condition()).alias(f"n{i}") for i, c in enumerate(on_rows)])
-        lines = F.array(*[
-            F.struct(F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"),
-                     F.col(f"n{i}").alias("violations"))
-            for i, c in enumerate(on_rows)
-        ])
-        parts.append(one_pass.select(F.inline(lines)))
+    if grouped:
+        parts.append(_one_grouping(df, on_rows, grouped))
+    elif on_rows:
+        lines = [_line(c, F.count_if(c.row_condition())) for c in on_rows]
+        parts.append(df.agg(F.array(*lines).alias("_lines")).select(F.inline("_lines")))
     for check in checks:
-        if check not in on_rows:
-            parts.append(check.violations(df).agg(
-                F.lit(check.name).alias("check_name"), F.lit(check.severity).alias("severity"),
-                F.count("*").alias("violations"),
-            ))
+        if check not in on_rows and check not in grouped:
+            parts.append(check.violations(df).agg(_line(check, F.count("*")).alias("_line")).select("_line.*"))
     return reduce(DataFrame.unionByName, parts)
 
 
+class Observed:
+    """Checks on single rows, counted by the job that writes a table, so that it needs no scan for
+    them. A task that runs twice may count twice; none counts what isn't there."""
+
+    def __init__(self, checks: Iterable[Check]):
+        self.checks = [c for c in checks if c.row_condition() is not None]
+        self._seen = Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        """The same rows, counted on their way."""
+        if not self.checks:
+            return df
+        return df.observe(self._seen, *[F.count_if(c.row_condition()).alias(f"n{i}") for i, c in enumerate(self.checks)])
+
+    def lines(self) -> list[Row]:
+        """As those of `report`, once the rows have been written."""
+        counts = self._seen.get if self.checks else {}
+        found = []
+        for i, check in enumerate(self.checks):
+            n = counts.get(f"n{i}", 0)  # nothing is reported where no task ran
+            status = check.severity if n else "pass"
+            found.append(Row(check_name=check.name, severity=check.severity, violations=n, status=status))
+        return found
+
+
 def report(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
     """One line per check: check_name, severity, violations, status (pass, warn, error)."""
     by_table: dict[str, list[Check]] = {}

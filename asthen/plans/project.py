@@ -14,11 +14,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from asthen.functions import moment
-from asthen.operators.quality import Check, ends_before_start, freshness, report
+from asthen.operators.quality import Check, Observed, ends_before_start, freshness, report
 from asthen.plans import history, marts, staging
-from asthen.plans.rollup import LOOKBACK_DAYS, refresh_generator_daily
+from asthen.plans.rollup import LOOKBACK_DAYS, publish_generator_daily, refresh_generator_daily
 from asthen.sources.registry import SOURCES
 from asthen.sources.tables import HistoryTable, refresh, table_path
+from asthen.sources.warehouse import Warehouse
 
 VIEW, TABLE, INCREMENTAL, SNAPSHOT = "view", "table", "incremental", "snapshot"
 # Accepted values and bounds of the checks.
@@ -159,11 +160,14 @@ def _check(tables: Mapping[str, DataFrame], checks: tuple[Check, ...]) -> tuple:
 
 def run_project(
     spark: SparkSession, raw: Mapping[str, DataFrame], root: str, as_of: datetime,
-    models: tuple[Model, ...] = MODELS, lookback_days: int = LOOKBACK_DAYS,
+    models: tuple[Model, ...] = MODELS, lookback_days: int = LOOKBACK_DAYS, warehouse: Warehouse | None = None,
 ) -> list[Outcome]:
     """Build, store and check every model under `root`; every model is also a temp view.
 
-    `models` may be `all_models` of other months; `lookback_days` is that of the daily rollup.
+    `models` may be `all_models` of other months; `lookback_days` is that of the daily rollup. With a
+    `warehouse`, every model is a table `layer.name` of its catalog, for all sessions, and what a
+    reader sees changes at once. Views are stored there as well: a DataFrame has no text
+    that a catalog could keep.
     """
     ready = dict(raw)
     outcomes = []
@@ -182,18 +186,25 @@ def run_project(
             outcomes.append(Outcome(model.name, "skipped"))
             continue
         inputs = [ready[i] for i in model.inputs]
-        path = table_path(root, model.layer, model.name)
+        # a stored model's rows are checked as they are written
+        seen = Observed(model.checks if model.build and (warehouse or model.stored == TABLE) else ())
+        path, place = table_path(root, model.layer, model.name), (model.layer, model.name)
         if model.stored == SNAPSHOT:
             table = HistoryTable(spark, path, *model.versioned_by)
             table.snapshot(inputs[0], moment(as_of))
-            df = table.read()
+            df = warehouse.view(*place, path, *table.files()) if warehouse else table.read()
+        elif warehouse and model.stored == INCREMENTAL:
+            df = publish_generator_daily(inputs[0], warehouse, *place, lookback_days=lookback_days)
+        elif warehouse:
+            df = warehouse.replace(seen.watch(model.build(*inputs)), *place)
         elif model.stored == INCREMENTAL:
             df = refresh_generator_daily(inputs[0], path, lookback_days=lookback_days)
         elif model.stored == TABLE:
-            df = refresh(model.build(*inputs), path)
+            df = refresh(seen.watch(model.build(*inputs)), path)
         else:
             df = model.build(*inputs)
         df.createOrReplaceTempView(model.name)
         ready[model.name] = df
-        settle(model.name, _check(ready, model.checks))
+        rest = tuple(c for c in model.checks if c not in seen.checks)
+        settle(model.name, (*seen.lines(), *_check(ready, rest)))
     return outcomes

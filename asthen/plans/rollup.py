@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from asthen.operators.history import lookback_from
+from asthen.operators.history import lookback_from, lookback_literal
 from asthen.plans.history import generator_daily, generator_daily_since
 from asthen.plans.staging import stage_readings
 from asthen.sources.tables import exists, newest_partition, read_table, refresh, upsert
+from asthen.sources.warehouse import Warehouse
 
 # Fixed value: days looked back for late readings.
 LOOKBACK_DAYS = 14
@@ -32,3 +33,14 @@ def refresh_generator_daily(
     cutoff = lookback_from(newest_partition(spark, path, ROLLUP_DAY), lookback_days)
     batch = generator_daily_since(raw_readings, cutoff)
     return upsert(batch, path, [ROLLUP_KEY], ROLLUP_DAY, since=cutoff, target=target)
+
+
+def publish_generator_daily(
+    raw_readings: DataFrame, warehouse: Warehouse, layer: str, name: str, lookback_days: int = LOOKBACK_DAYS
+) -> DataFrame:
+    """The same on a catalog table, which shows all days of a run at once."""
+    if not warehouse.exists(layer, name):
+        return warehouse.replace(generator_daily(stage_readings(raw_readings)), layer, name, [ROLLUP_DAY])
+    cutoff = lookback_literal(warehouse.table(layer, name), ROLLUP_DAY, lookback_days)
+    batch = generator_daily_since(raw_readings, cutoff)
+    return warehouse.upsert(batch, layer, name, [ROLLUP_KEY], ROLLUP_DAY, since=cutoff)

@@ -3,7 +3,7 @@ from conftest import rows, ts
 
 from asthen.functions import moment
 from asthen.operators import quality
-from asthen.operators.quality import Check
+from asthen.operators.quality import Check, Observed, count_violations
 
 
 @pytest.fixture(scope="module")
@@ -77,3 +77,33 @@ def test_report(spark, numbers):
 def test_row_counts(spark):
     out = quality.row_counts({"b": spark.range(2), "a": spark.range(3)})
     assert [tuple(r) for r in out.collect()] == [("a", 3), ("b", 2)]
+
+
+def test_checks_of_a_table_share_one_grouping(spark):
+    """Grouping sets count what each check would by itself, on nulls, repeats and an empty table."""
+    data = [(1, "a", 1.0), (1, "a", None), (2, None, -1.0), (None, "z", 5.0), (None, "z", 7.0), (3, "q", 2.0), (3, "b", 0.5)]
+    df = spark.createDataFrame(data, "k int, v string, x double")
+    checks = [
+        Check("t", "unique", ("k",)), Check("t", "not_null", ("v",)), Check("t", "unique_combination", ("k", "v")),
+        Check("t", "accepted_values", ("v",), "warn", {"values": ("a", "b")}),
+        Check("t", "accepted_range", ("x",), options={"low": 0, "high": 6}), Check("t", "unique", ("v",)),
+        Check("t", "rows", rows=lambda d: d.filter("x > 4"), label="big"),
+    ]
+    for some in (df, df.limit(0)):
+        got = {r.check_name: r.violations for r in count_violations(some, checks).collect()}
+        assert got == {c.name: c.violations(some).count() for c in checks}
+    plan = count_violations(df, checks[:6])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Scan") == 1
+
+
+def test_rows_are_checked_as_they_are_written(spark, tmp_path):
+    df = spark.range(0, 100, 1, 4).selectExpr("id", "nullif(id % 10, 3) as x")
+    checks = [Check("t", "not_null", ("x",)), Check("t", "accepted_range", ("x",), "warn", {"high": 8}), Check("t", "unique", ("id",))]
+    seen = Observed(checks)
+    seen.watch(df).write.parquet(str(tmp_path / "t"))
+    assert [(r.check_name, r.violations, r.status) for r in seen.lines()] == [
+        ("not_null_t_x", 10, "error"), ("accepted_range_t_x", 10, "warn")]
+    none = Observed(checks[:1])
+    none.watch(df.limit(0)).write.parquet(str(tmp_path / "none"))
+    assert [(r.violations, r.status) for r in none.lines()] == [(0, "pass")]
+    assert Observed(checks[2:]).lines() == []
