@@ -217,10 +217,16 @@ def freshness(
     )
 
 
-def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Row count of every table, by name."""
+def row_counts(tables: Mapping[str, DataFrame], refused: DataFrame | None = None) -> DataFrame:
+    """Row count of every table, by name; with `refused` (a line each, with its table_name) also how many
+    lines of each table could not be read."""
     counts = [
         df.agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count"))
         for name, df in tables.items()
     ]
-    return reduce(DataFrame.unionByName, counts).orderBy("table_name")
+    counted = reduce(DataFrame.unionByName, counts)
+    if refused is not None:
+        lines = refused.groupBy("table_name").agg(F.count("*").alias("refused_count"))
+        counted = counted.join(lines, "table_name", "left").withColumn(
+            "refused_count", F.coalesce("refused_count", F.lit(0)))
+    return counted.orderBy("table_name")

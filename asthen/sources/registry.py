@@ -6,8 +6,10 @@ Columns with messy content are text here; staging casts them.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from asthen.operators.quality import Check
@@ -116,5 +118,37 @@ def read_source(spark: SparkSession, table: str, root: str, fmt: str = "csv") ->
     return reader.format(fmt).load(path)
 
 
+# The column of a line that could not be read as its table's columns.
+LINE = "_refused_line"
+
+
+def split_source(spark: SparkSession, table: str, root: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of a csv file that fit the declared columns, and (table_name, line, file) of the lines
+    that don't: a value of another type, or too few or too many. No line stops the load and
+    none is lost. All columns of a line are always read, so a row is good or refused
+    whichever columns a query asks for. A header of other columns is still an error.
+    """
+    source = SOURCES[table]
+    options = {"header": True, "mode": "PERMISSIVE", "enforceSchema": False, "columnNameOfCorruptRecord": LINE}
+    schema = T.StructType([*source.schema.fields, T.StructField(LINE, T.StringType())])
+    path = f"{root}/{source.system}/{table}.csv"
+    lines = spark.read.schema(schema).options(**options).csv(path)
+    # always true, but needs every column: those that a plan doesn't need aren't read, nor refused
+    read = F.length(F.concat_ws("", *[F.col(c).cast("string") for c in source.schema.names])) >= 0
+    lines = lines.filter(read)
+    good = lines.filter(F.col(LINE).isNull()).drop(LINE)
+    refused = lines.filter(F.col(LINE).isNotNull()).select(
+        F.lit(table).alias("table_name"), F.col(LINE).alias("line"), F.col("_metadata.file_path").alias("file")
+    )
+    return good, refused
+
+
+def split_sources(spark: SparkSession, root: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The good rows of every table, and the refused lines of all."""
+    both = {table: split_source(spark, table, root) for table in SOURCES}
+    refused = reduce(DataFrame.unionByName, [r for _, r in both.values()])
+    return {table: good for table, (good, _) in both.items()}, refused
+
+
 def read_sources(spark: SparkSession, root: str, fmt: str = "csv") -> dict[str, DataFrame]:
     return {table: read_source(spark, table, root, fmt) for table in SOURCES}

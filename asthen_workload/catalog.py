@@ -12,15 +12,17 @@ from asthen.functions import clean_string, moment, safe_ratio, surrogate_key
 from asthen.operators import history as incremental
 from asthen.operators import quality
 from asthen.operators.counts import distinct_counts
-from asthen.operators.intervals import event_intervals, month_grid, month_spine
+from asthen.operators.intervals import event_intervals, month_grid, month_spine, months_between
+from asthen.operators.ranges import in_intervals
 from asthen.operators.rows import earliest_per_key, latest_per_key, latest_since
 from asthen.plans import analyses, history, marts, project, staging
 from asthen.plans.rollup import LOOKBACK_DAYS, ROLLUP_DAY, ROLLUP_KEY, refresh_generator_daily
-from asthen.sources.registry import SOURCES
+from asthen.sources.audit import stored_freshness, stored_row_counts
+from asthen.sources.registry import SOURCES, split_source
 from asthen.sources.tables import HistoryTable, read_table, refresh, work_dir
 from asthen.streaming.daily import write_closed_days, write_daily_deliveries
 from asthen.streaming.rollup import write_generator_daily
-from asthen_workload.bindings import HI, LO, RAW_TABLES, Tables, stream_tables
+from asthen_workload.bindings import HI, LO, RAW_TABLES, TEST_TABLES, Tables, stream_tables
 
 AS_OF_FRESHNESS = datetime(2024, 2, 8, 12)
 AS_OF_SNAPSHOT = datetime(2002, 1, 1)
@@ -232,6 +234,25 @@ def latest_row_per_key(t):
     )
 
 
+@query
+def assignment_at_move(t):
+    """The assignments that a person held at the moment of each move."""
+    moves = staging.stage_relocations(t["relocations"]).select("resident_id", "relocation_id", "relocated_at")
+    held = staging.stage_assignments(t["job_assignments"]).select("resident_id", "assignment_id", "started_at", "ended_at")
+    return in_intervals(moves, "relocated_at", held, "started_at", "ended_at", ["resident_id"])
+
+
+@query
+def orders_open_at(t):
+    """Maintenance orders that are open at a moment of each month."""
+    first = F.explode(months_between(F.to_date(F.lit(LO)), F.to_date(F.lit(HI))))
+    months = t.spark.range(1).select(first.alias("month_start"))
+    moments = months.select((F.col("month_start").cast("timestamp_ntz") + F.expr("interval 252 hours")).alias("moment"))
+    orders = staging.stage_maintenance_orders(t["maintenance_orders"]).select("order_id", "opened_at", "closed_at")
+    open_then = in_intervals(moments, "moment", orders, "opened_at", "closed_at")
+    return open_then.groupBy("moment").agg(F.count("*").alias("open_orders"))
+
+
 @query_as("event_intervals")
 def event_interval_rows(t):
     events = t["orders"].select("o_custkey", "o_orderkey", F.col("o_orderdate").alias("valid_from"))
@@ -517,6 +538,40 @@ def row_count_audit(t):
     return quality.row_counts({f"{SOURCES[n].system}.{n}": t[n] for n in RAW_TABLES})
 
 
+@query
+def stored_row_audit(t):
+    """Of the test tables as they are stored, from their files' footers."""
+    return stored_row_counts(t.spark, {n: f"{t.sf_dir}/{n}.parquet" for n in TEST_TABLES})
+
+
+@query
+def stored_freshness_by_day(t):
+    """The readings stored by the day they were synced."""
+    path = f"{work_dir(t.spark)}/readings"
+    synced = t["generator_readings"].withColumn(staging.SYNC_DAY, F.to_date("_synced_at"))
+    refresh(synced, path, [staging.SYNC_DAY])
+    source = SOURCES["generator_readings"]
+    return stored_freshness(t.spark, path, source.table, source.loaded_at, staging.SYNC_DAY,
+                            moment(AS_OF_FRESHNESS), source.warn_hours, source.error_hours)
+
+
+@query
+def quarantine(t):
+    """The readings as csv, some with a temperature or a time that is none; good rows and refused lines."""
+    feed = t["reading_feed"]
+    bad = {"temperature_c": (97, "n/a"), "read_at": (89, "yesterday")}
+    columns = SOURCES["generator_readings"].schema.names
+    lines = feed.select(*[
+        F.when(F.col("n") % bad[c][0] == 0, bad[c][1]).otherwise(F.col(c).cast("string")).alias(c) if c in bad
+        else F.col(c).cast("string").alias(c) for c in columns])
+    folder = work_dir(t.spark)
+    lines.write.option("header", True).csv(f"{folder}/mech_db/generator_readings.csv")
+    good, refused = split_source(t.spark, "generator_readings", folder)
+    return good.select("reading_id", "read_at", "temperature_c", F.lit(False).alias("is_refused")).unionByName(
+        refused.select(F.split("line", ",")[0].alias("reading_id"), F.lit(True).alias("is_refused")),
+        allowMissingColumns=True)
+
+
 @query
 def source_freshness(t):
     return project.source_freshness({"generator_readings": t["generator_readings"]}, AS_OF_FRESHNESS)

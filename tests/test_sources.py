@@ -1,0 +1,79 @@
+"""Lines that can't be read, and audits from metadata."""
+
+import re
+
+import pytest
+from conftest import rows, ts
+from pyspark.sql import functions as F
+
+from asthen.functions import moment
+from asthen.operators.quality import row_counts
+from asthen.sources.audit import footer_scan, stored_freshness, stored_row_counts
+from asthen.sources.registry import read_source, split_source, split_sources
+from asthen.sources.tables import refresh
+from test_project import CSV, ZONES
+
+BAD = """EQ-2,Fan,two,LOW,2001-01-01
+EQ-3,Fan,2
+EQ-4,Fan,2,LOW,2001-01-01,more
+EQ-5,Fan,2,LOW,some day
+EQ-6,,,,
+"""
+
+
+@pytest.fixture
+def folder(tmp_path):
+    for name, text in {**CSV, "seeds/level_zones": ZONES}.items():
+        path = tmp_path / f"{name}.csv"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text + (BAD if name.endswith("equipment") else ""))
+    return str(tmp_path)
+
+
+def test_bad_lines_are_kept_apart(spark, folder):
+    good, refused = split_source(spark, "equipment", folder)
+    assert rows(good, "equipment_id", "level_number") == [("EQ-1", 2), ("EQ-6", None)]
+    assert rows(good.select("equipment_id")) == [("EQ-1",), ("EQ-6",)]  # whatever is asked for
+    assert good.count() == 2
+    assert sorted(r.line for r in refused.collect()) == BAD.splitlines()[:4]
+    assert {r.file.rsplit("/", 1)[1] for r in refused.collect()} == {"equipment.csv"}
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_source(spark, "equipment", folder).collect()
+
+
+def test_refused_lines_are_counted_in_the_audit(spark, folder):
+    tables, refused = split_sources(spark, folder)
+    got = {r.table_name: (r.row_count, r.refused_count) for r in row_counts(tables, refused).collect()}
+    assert got["equipment"] == (2, 4) and got["departments"] == (1, 0) and len(got) == 9
+
+
+def test_another_header_is_still_an_error(spark, folder, tmp_path):
+    (tmp_path / "mech_db" / "equipment.csv").write_text("id,name,level_number,criticality,installed_on\n1,a,1,b,2001-01-01\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        split_source(spark, "equipment", folder)[0].collect()
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    refresh(spark.range(0, 1000, 1, 3).withColumn("x", F.col("id") % 7), str(tmp_path / "a"))
+    refresh(spark.range(0), str(tmp_path / "none"))
+    paths = {n: str(tmp_path / n) for n in ("a", "none")}
+    assert [tuple(r) for r in stored_row_counts(spark, paths).collect()] == [("a", 1000), ("none", 0)]
+    plan = stored_row_counts(spark, paths)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"PushedAggregation: \[COUNT\(\*\)\]", plan)) == 2
+    greatest = footer_scan(spark, paths["a"]).agg(F.max("id").alias("m"))
+    assert "PushedAggregation: [MAX(id)]" in greatest._jdf.queryExecution().executedPlan().toString()
+    assert greatest.first().m == 999
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+
+
+def test_freshness_reads_the_newest_day_only(spark, tmp_path):
+    data = [(i, ts(f"2024-01-{i:02} 10:00")) for i in range(1, 21)]
+    df = spark.createDataFrame(data, "id int, at timestamp_ntz").withColumn("day", F.to_date("at"))
+    refresh(df, str(tmp_path / "t"), ["day"])
+    out = stored_freshness(spark, str(tmp_path / "t"), "t", "at", "day", moment(ts("2024-01-21 10:00")), 12, 48)
+    assert [tuple(r)[1:] for r in out.collect()] == [(ts("2024-01-20 10:00"), 86_400, "warn")]
+    assert "PartitionFilters: [isnotnull(day" in out._jdf.queryExecution().executedPlan().toString()
+    refresh(df.limit(0), str(tmp_path / "e"), ["day"])
+    out = stored_freshness(spark, str(tmp_path / "e"), "t", "at", "day", moment(ts("2024-01-21 10:00")), 12, 48)
+    assert out.first().status == "error"
