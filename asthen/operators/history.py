@@ -34,7 +34,7 @@ def keyed_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Da
     Idempotent. A key that vanished from the source but is not in the batch stays.
     Columns only one side has are null on the other, so the schema only grows.
     """
-    kept = target.join(batch.select(*keys).distinct(), list(keys), "left_anti").select(*target.columns)
+    kept = target.join(batch.select(*keys), list(keys), "left_anti").select(*target.columns)
     return kept.unionByName(batch, allowMissingColumns=True)
 
 

@@ -154,7 +154,8 @@ def upsert(
         .partitionBy(partition)
         .parquet(path)
     )
-    save_schema(spark, path, rows.schema)
+    if target is None or target.schema != rows.schema:
+        save_schema(spark, path, rows.schema)
     return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
 
 
