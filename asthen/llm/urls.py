@@ -21,14 +21,14 @@ Rules = tuple[tuple[str, str], ...]
 
 #: Urls that the classifier is trained on (fixed values), the scheme left out.
 BLOCKED = """
-cheap-pills.com/buy/viagra cheappills.net/order cheapmeds.org/pharmacy/discount pillsonline.biz/viagra
-buypills.info/cheap online-pharmacy.com/cialis viagrasale.net/cheap casino-win.com/slots
-casinowin.net/bonus bestcasino.org/jackpot online-casino.biz/roulette luckyslots.com/casino
-free-bets.com/odds freebets.net/bonus sportsbets.org/betting betting-tips.com/win pokerwin.net/poker
-winbig.biz/lottery jackpotcity.com/slots spam-farm.com/links spamfarm.net/seo linkfarm.org/spam
-buy-links.biz/seo spamlinks.info/farm clickfarm.net/traffic adult-x.com/videos adultx.net/porn
+discount-pills.com/buy/viagra cheaptablets.net/order cheapmeds.org/pharmacy/discount pillsonline.biz/viagra
+buypills.info/cheap online-pharmacy.com/cialis viagrasale.net/cheap royal-casino.com/slots
+casinostar.net/bonus bestcasino.org/jackpot online-casino.biz/roulette luckyslots.com/casino
+best-bets.com/odds livebets.net/free sportsbets.org/betting betting-tips.com/win pokerwin.net/poker
+winbig.biz/lottery jackpotcity.com/slots spam-links.com/links seospam.net/farm linkfarm.org/spam
+buy-links.biz/seo spamlinks.info/farm clickfarm.net/traffic adult-movies.com/videos adultclips.net/porn
 xxxvideos.org/sex freeporn.biz/adult hotsex.info/xxx nudecams.com/live adultcams.net/sex
-ads-track.com/click adstrack.net/pixel adtracker.org/banner trackclicks.biz/ads popads.info/click
+ads-click.com/click clickads.net/pixel adtracker.org/banner trackclicks.biz/ads popads.info/click
 adserver.com/banner clicktrack.net/redirect fast-loans.com/payday payday-loan.net/cash
 easycash.biz/loans crack-keygen.com/warez warezcrack.net/serial freekeygen.org/torrent
 replica-watches.com/cheap fakewatches.net/replica get-rich.biz/money earnmoney.info/fast
