@@ -83,32 +83,28 @@ def contained_items(
     The containment of an item in a document is the share of the item's distinct `n`-word
     shingles that occur in the whole document; pairs at or above `threshold` are returned.
     Every document shingle is hashed once and probed against the items' sketches
-    (`sketches`), which gives candidates; only candidate documents move, with their words, and
-    are verified on the shingles' text. A document's own sketch isn't used: it would keep too few
-    of a long text's shingles to find a short item.
+    (`sketches`), which gives candidates; of documents only keys and hashes take part in this. The
+    texts of candidates are then fetched by a second join and verified on the shingles' text. A
+    document's own sketch isn't used: it would keep too few of a long text's shingles to find a
+    short item.
 
     Words are lower-cased runs of letters and digits. Items of fewer than `n` words have no
     shingle and are never reported, nor are items with a null id. Null or empty texts contain
     nothing. Rows with a null key are left out; rows that repeat a key are one document whose
-    shingles are those of all its texts that share a sketch hash with some item. Other columns are
-    ignored. Empty tables give no rows.
+    shingles are those of all its texts. Other columns are ignored. Empty tables give no rows.
     """
     items = stored(item_shingles(benchmark, item_key, item_text, n))
     sketch = stored(sketches(items, threshold))
     n_items, n_sketch = items.count(), sketch.count()
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), words(F.col(text)).alias("words"))
-    rows = rows.where("doc_id is not null")
-    probes = rows.select("doc_id", "words", F.explode(_hashes("words", n)).alias("hash"))
-    # each candidate pair once, then each candidate document once with its words
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = rows.where("doc_id is not null and text is not null")
+    hashed = rows.select("doc_id", words(F.col("text")).alias("words"))
+    probes = hashed.select("doc_id", F.explode(_hashes("words", n)).alias("hash"))
     sketch = sketch.withColumnRenamed("hash", "sketch_hash")
     hits = probes.join(_sized(sketch, n_sketch), F.col("hash") == F.col("sketch_hash"))
-    by_text = F.xxhash64("words")
-    candidates = stored(
-        hits.groupBy("doc_id", by_text.alias("version")).agg(
-            F.collect_set("item_id").alias("items"), F.any_value("words").alias("words")
-        )
-    )
-    pairs = candidates.select("doc_id", F.explode("items").alias("item_id")).distinct()
+    pairs = stored(hits.select("doc_id", "item_id").distinct())
+    candidates = rows.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
+    candidates = candidates.select("doc_id", words(F.col("text")).alias("words"))
     parts = candidates.select("doc_id", F.explode(F.array_distinct(_shingles("words", n))).alias("shingle"))
     # only shingles that some item has are of interest
     listed = items.select(F.col("shingle").alias("item_shingle"), F.col("item_id").alias("item"))

@@ -126,6 +126,33 @@ def test_contained_items(spark):
     assert contained_items(frame, bench.limit(0)).collect() == []
 
 
+def test_contained_items_of_any_size(spark, monkeypatch):
+    """With the joins that shuffle: no text beside its shingles; keys that repeat are one document."""
+    from asthen.llm import decontamination
+
+    rng = random.Random(6)
+    items = [(i, " ".join(prose(rng, 30))) for i in range(12)]
+    docs = [(i, " ".join(prose(rng, 4000) + items[i][1].split() + prose(rng, 4000))) for i in range(6)]
+    for i in range(6, 12):  # an item cut in two, under one key
+        part = items[i][1].split()
+        docs += [(i, " ".join(prose(rng, 50) + part[:17])), (i, " ".join(part[13:] + prose(rng, 50))), (i, None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = {tuple(r) for r in contained_items(frame, bench).collect()}
+    assert {r[:2] for r in want} == {(i, i) for i in range(12)}
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", 0)
+    for setting in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(setting, -1)
+    try:
+        out = contained_items(frame, bench)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert {tuple(r) for r in out.collect()} == want
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    finally:
+        for setting in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(setting)
+
+
 def brute_vectors(rows, least=0.93):
     ids = [r[0] for r in rows]
     links = {i: 0 for i in range(len(rows))}
