@@ -263,7 +263,7 @@ def near_vectors(
 
     Null or zero vectors, vectors with null or non-finite parts, and null labels link with
     nothing, nor do vectors of different length: 0 links, a component of their own, kept. Rows
-    that repeat a key are entries of one vertex; a null key has a null component and is kept.
+    that repeat a key are one vertex, with the links of each row's own vector; a null key has a null component and is kept.
     Other columns are ignored; an empty table gives no rows.
     """
     rows = stored(
@@ -278,21 +278,29 @@ def near_vectors(
     entries = stored(
         rows.where("ok")
         .groupBy("label", "vector")
-        .agg(F.min("id").alias("rep"), F.count("*").alias("n"))
-        .withColumn("size", F.size("vector"))
+        .agg(F.min("id").alias("first"), F.count("*").alias("n"))
+        .withColumns({"size": F.size("vector"), "rep": F.monotonically_increasing_id()})
     )
-    links = _entry_links(entries, least)
-    graph = stored(links)
-    found = components(graph.select(F.col("rep").alias("a"), F.col("root").alias("b")))
+    graph = stored(_entry_links(entries, least))
+    # vertices are keys: an entry's least one stands for all that have its vector, and a key with
+    # several vectors joins their entries
+    ends = entries.select("rep", "first")
+    linked = graph.where("rep != root").join(ends.withColumnRenamed("first", "a"), "rep")
+    linked = linked.join(ends.select(F.col("rep").alias("root"), F.col("first").alias("b")), "root")
+    entry = F.xxhash64("label", "vector")
+    several = rows.where("ok").groupBy("id").agg(F.min(entry).alias("x"), F.max(entry).alias("y"))
+    several = several.where("x != y").select("id")
+    owned = rows.where("ok").join(several, "id", "left_semi").join(entries, ["label", "vector"])
+    found = components(linked.select("a", "b").union(owned.select("id", "first")))
     sums = graph.groupBy("rep").agg(F.sum("links").alias("links"))
     known = stored(
         entries.join(sums, "rep", "left")
-        .join(found, F.col("rep") == F.col("vertex"), "left")
+        .join(found, F.col("first") == F.col("vertex"), "left")
         .select(
             "label",
             "vector",
             (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-            F.coalesce("component", "rep").alias("component_id"),
+            F.coalesce("component", "first").alias("component_id"),
         )
     )
     good = rows.where("ok").join(known, ["label", "vector"]).select("id", "n_links", "component_id")
@@ -316,8 +324,8 @@ def _entry_links(entries: DataFrame, least: float) -> DataFrame:
         return spark.createDataFrame([], schema)
     m = next(m for m in range(min(SUBSPACES, dims), 0, -1) if dims % m == 0 or m == 1)
     dims = -(-dims // m) * m
-    picked = entries.select("vector", F.xxhash64("rep", "label").alias("h"), "rep")
-    picked = picked.orderBy("h", "rep").limit(SAMPLE).toPandas()
+    picked = entries.select("vector", F.xxhash64("first", "label").alias("h"), "first")
+    picked = picked.orderBy("h", "first").limit(SAMPLE).toPandas()
     sample = _vectors(picked["vector"], dims)
     book = fit(sample / np.sqrt((sample**2).sum(1))[:, None])
     radius = float(np.sqrt(max(0.0, 2 - 2 * least)))
