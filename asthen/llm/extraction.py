@@ -38,6 +38,7 @@ _MARKUP = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _TOKEN = re.compile(r"[a-z]+")
+_OWNER = re.compile(r"©|\(c\)|\bcopyright\b", re.I)
 
 
 @dataclass
@@ -170,7 +171,7 @@ def features(page: list[Block]) -> Iterator[list[str]]:
         out.append("links:" + ("all" if share > 0.8 else "some" if share > 0.2 else "few"))
         if b.text[-1] in ".!?…\"'”":
             out.append("ends")
-        if "©" in b.text[:60]:
+        if _OWNER.search(b.text[:60]):
             out.append("copyright")
         if b.text.count(",") + b.text.count(".") > 2:
             out.append("running")

@@ -161,8 +161,8 @@ class _Page:
     def article(self) -> str:
         title = f"<h1>{self.words(1, 12)}</h1>" * self.odds(0.8)
         blocks = [self.block() for _ in range(self.rng.randint(1, 9))]
-        for _ in range(self.pick(0, 0, 0, 1, 2)):  # parts that stand inside the article
-            kind = self.pick("ad", "side", "share", "form", "comment", "note", "menu")
+        for _ in range(self.pick(0, 0, 1, 1, 2)):  # parts that stand inside the article
+            kind = self.pick("ad", "side", "side", "share", "form", "comment", "note", "menu")
             blocks.insert(self.rng.randint(0, len(blocks)), self.part(kind))
         body = title + "".join(blocks)
         names = self.names(MAIN) if self.odds(0.6) else ""
@@ -175,7 +175,45 @@ class _Page:
         tag = self.pick("div", "div", "section", "td")
         return f'<{tag}{names} data-main="1">{body}</{tag}>'
 
+    def plain(self, kind: str) -> str:
+        """A part that neither a telling element nor a name marks: only its text does."""
+        link = lambda: f'<a href="/{self.word()}">{self.words(1, 3)}</a>'
+        many = range(self.rng.randint(2, 8))
+        if kind == "menu":
+            gap = self.pick(" ", " | ", " &middot; ", "<br>", "</p><p>", "</div><div>", "</td><td>")
+            return gap.join(link() for _ in many)
+        if kind == "head":
+            return self.pick(f"<b>{self.words(1, 3)}</b>", self.words(1, 4), f"<img src=x> {self.words(1, 3)}")
+        if kind == "foot":
+            mark = self.pick("&copy;", "©", "Copyright", "Copyright &copy;", "(c)", "&copy;")
+            owner = f"{mark} {self.pick('2019', '2024', '')} {self.words(1, 4)}"
+            return owner + self.pick("", ".", " | " + link(), ". All rights reserved.", " &middot; " + self.sentence())
+        return "<br>".join(f'{link()} {self.pick("", "(" + str(self.rng.randint(1, 99)) + ")")}' for _ in many)
+
+    def plain_page(self) -> str:
+        """A layout of bare cells or boxes around the text."""
+        cell = self.pick("td", "td", "div", "div", "p")
+        before = [self.plain(k) for k in ("head", "menu") if self.odds(0.7)]
+        after = [self.plain(k) for k in ("links", "menu", "foot") if self.odds(0.6)]
+        title = f"<{(h := self.pick('h1', 'h2', 'h3'))}>{self.words(2, 10)}</{h}>" * self.odds(0.8)
+        tag = "div" if cell == "p" else cell
+        blocks = [f"<p>{self.prose(self.pick(2, 4, 8))}</p>" for _ in range(self.rng.randint(1, 8))]
+        if self.odds(0.3):
+            blocks = [self.prose(6) + "<br><br>" + self.prose(6)]
+        boxes = [f'<{cell} data-main="0">{b}</{cell}>' for b in before]
+        boxes += [f'<{tag} data-main="1">{title}{"".join(blocks)}</{tag}>']
+        boxes += [f'<{cell} data-main="0">{b}</{cell}>' for b in after]
+        if cell == "td":
+            row = "</tr><tr>" if self.odds(0.5) else ""
+            body = f"<table><tr>{row.join(boxes)}</tr></table>"
+        else:
+            body = "".join(boxes)
+            body = f"<div>{body}</div>" if self.odds(0.5) else body
+        return f"<html><head><title>{self.words(2, 6)}</title></head><body>{body}</body></html>"
+
     def page(self) -> str:
+        if self.odds(0.18):
+            return self.plain_page()
         before = [self.part(k) for k in ("head", "menu", "note", "ad", "form", "side") if self.odds(0.4)]
         after = [
             self.part(k)
