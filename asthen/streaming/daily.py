@@ -17,6 +17,7 @@ from asthen.plans.rollup import LOOKBACK_DAYS, ROLLUP_DAY, ROLLUP_KEY
 from asthen.plans.staging import READING_KEY, READING_ORDER, READING_TIE, clean_readings
 from asthen.streaming.events import (
     EVENT_TIME,
+    CatalogTable,
     first_deliveries,
     latest_versions,
     per_day,
@@ -41,10 +42,10 @@ def closed_days(raw: DataFrame, lateness: str = LATENESS) -> DataFrame:
 
 
 def write_closed_days(
-    raw: DataFrame, path: str, checkpoint: str, lateness: str = LATENESS, **trigger
+    raw: DataFrame, table: str | CatalogTable, checkpoint: str, lateness: str = LATENESS, **trigger
 ) -> StreamingQuery:
-    """Add each day to the table at `path` once it is closed."""
-    return write_upserts(closed_days(raw, lateness), path, checkpoint, [ROLLUP_KEY], ROLLUP_DAY, "append", **trigger)
+    """Add each day to the table once it is closed."""
+    return write_upserts(closed_days(raw, lateness), table, checkpoint, [ROLLUP_KEY], ROLLUP_DAY, "append", **trigger)
 
 
 def daily_deliveries(raw: DataFrame, lateness: str = LATENESS) -> DataFrame:
@@ -58,7 +59,7 @@ def daily_deliveries(raw: DataFrame, lateness: str = LATENESS) -> DataFrame:
 
 
 def write_daily_deliveries(
-    raw: DataFrame, path: str, checkpoint: str, lateness: str = LATENESS, **trigger
+    raw: DataFrame, table: str | CatalogTable, checkpoint: str, lateness: str = LATENESS, **trigger
 ) -> StreamingQuery:
-    """Keep the table at `path` up to date after every micro-batch."""
-    return write_upserts(daily_deliveries(raw, lateness), path, checkpoint, [ROLLUP_KEY], ROLLUP_DAY, **trigger)
+    """Keep the table up to date after every micro-batch."""
+    return write_upserts(daily_deliveries(raw, lateness), table, checkpoint, [ROLLUP_KEY], ROLLUP_DAY, **trigger)

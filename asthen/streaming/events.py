@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from asthen.sources.tables import upsert
+from asthen.sources.warehouse import Warehouse
 
 DAY = "1 day"
+CatalogTable = tuple[Warehouse, str, str]
 # The column of the watermark: wall-clock times as if they were of UTC, so no session's zone matters.
 EVENT_TIME = "_event_time"
 
@@ -57,9 +59,12 @@ def per_day(timed: DataFrame, keys: Sequence[str], measures: Mapping[str, Column
 
 
 def write_upserts(
-    rows: DataFrame, path: str, checkpoint: str, keys: Sequence[str], partition: str, mode: str = "update", **trigger
+    rows: DataFrame, table: str | CatalogTable, checkpoint: str, keys: Sequence[str], partition: str,
+    mode: str = "update", **trigger,
 ) -> StreamingQuery:
-    """Keep the table at `path` equal to the newest rows of an aggregated stream, by key.
+    """Keep a table equal to the newest rows of an aggregated stream, by key. `table` is a path, whose
+    partitions are replaced in place, or (warehouse, layer, name): readers of that see a batch whole
+    or not at all, and a batch that fails half-way loses nothing.
 
     In update mode every group that a micro-batch touched goes out anew; in append mode each goes
     out once, when the watermark has closed it. A batch replaces its keys, so one that is
@@ -70,8 +75,13 @@ def write_upserts(
         batch = batch.persist()
         try:
             # no row to write means no partition to touch; the first batch makes the table
-            if number == 0 or not batch.isEmpty():
-                upsert(batch, path, keys, partition)
+            if number and batch.isEmpty():
+                return
+            if isinstance(table, str):
+                upsert(batch, table, keys, partition)
+            else:
+                warehouse, layer, name = table
+                warehouse.upsert(batch, layer, name, keys, partition)
         finally:
             batch.unpersist()
 

@@ -2,11 +2,13 @@
 
 from decimal import Decimal
 
+import pytest
 from conftest import rows, ts
 
 from asthen.plans import history, staging
 from asthen.sources.registry import SOURCES
 from asthen.sources.tables import read_table
+from asthen.sources.warehouse import Warehouse
 from asthen.streaming.daily import write_closed_days, write_daily_deliveries
 from asthen.streaming.events import late_rows, state_rows
 
@@ -89,3 +91,30 @@ def test_rows_without_a_time_are_left_out(spark, tmp_path):
     deliver(spark, tmp_path, deliveries([1]) + [("x", "gen-1", None, "1", "2024-01-01"), (None, None, "2024-01-01", "1", None)])
     out, _ = run(spark, tmp_path, write_daily_deliveries)
     assert rows(out, "generator_id", "delivery_count") == [(None, 1), ("GEN-1", 3)]
+
+
+def test_a_batch_that_fails_half_way_loses_nothing(spark, tmp_path):
+    """Killed between writing its rows and the switch, a batch is done again by the next start."""
+    house = Warehouse(spark, str(tmp_path / "house"), prefix="events_")
+    source = tmp_path / "in"
+
+    def start():
+        raw = spark.readStream.schema(SCHEMA).parquet(str(source))
+        return write_daily_deliveries(raw, (house, "marts", "days"), str(tmp_path / "checkpoint"), availableNow=True)
+
+    try:
+        deliver(spark, tmp_path, deliveries(range(1, 4)))
+        start().awaitTermination()
+        before = rows(house.table("marts", "days"))
+        deliver(spark, tmp_path, deliveries([3, 4], hours=(1, 2), prefix="more"))
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(house, "_switch", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+            with pytest.raises(Exception, match="killed"):
+                start().awaitTermination()
+        assert rows(house.table("marts", "days")) == before
+        start().awaitTermination()
+        out = house.table("marts", "days")
+        assert [(str(d), n) for d, n in rows(out, "reading_date", "delivery_count")] == [
+            ("2024-01-01", 3), ("2024-01-02", 3), ("2024-01-03", 5), ("2024-01-04", 2)]
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS events_marts CASCADE")
