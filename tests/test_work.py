@@ -1,6 +1,7 @@
 """Assignment months and staffing."""
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -91,3 +92,24 @@ def test_staffing_equals_distinct_counts_over_the_months(spark, seed):
     flat = distinct_counts(months, keys, "resident_id", "headcount",
                            {n: F.col("shift_code") == c for n, c in marts.SHIFTS.items()})
     assert rows(flat) == rows(counted, *flat.columns)
+
+
+def test_staffing_holds_the_memberships_once(small):
+    """One exchange and one sort per entity; no table of entities is built beside or after it."""
+    out = marts.department_monthly_staffing(*small, LO, HI)
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert text.count("REPARTITION_BY_COL") == 1
+    keys = re.findall(r"Aggregate\(keys=\[([^\]]*)", text)
+    assert keys and not [k for k in keys if "entity" in k]
+
+
+def test_a_person_with_many_equal_periods_counts_once(spark):
+    data = [("A", "R", "D", "Shadow" if i % 2 else "Clerk", "DAY" if i % 3 else "SWING", "2022-01-05",
+             ["2022-01-20", "2022-02-03", None][i % 3]) for i in range(60)]
+    data += [(None, None, "D", "Clerk", "DAY", "2022-04-02", None), (None, "R", None, "Clerk", "DAY", "2022-03-02", None)]
+    out = marts.department_monthly_staffing(
+        assignments(spark, data), spark.createDataFrame([], DEPARTMENTS), LO, HI)
+    got = rows(out.withColumn("m", F.month("month_start")), "m", "department_code", *marts.STAFFING)
+    assert sorted(got, key=str) == [
+        (1, "D", 1, 1, 1, 1, 0, 1), (2, "D", 1, 1, 1, 0, 0, 1), (3, "D", 1, 1, 1, 0, 0, 1),
+        (3, None, 0, 1, 1, 0, 0, 0), (4, "D", 1, 1, 1, 0, 0, 1), (4, None, 0, 1, 1, 0, 0, 0)]
