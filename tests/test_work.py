@@ -8,8 +8,9 @@ import pytest
 from conftest import rows, ts
 from pyspark.sql import functions as F
 
+from asthen.operators import quality
 from asthen.operators.counts import distinct_counts
-from asthen.plans import history, marts
+from asthen.plans import history, marts, project
 
 LO, HI = "2022-01-01", "2022-04-01"
 ASSIGNMENTS = ("assignment_id string, resident_id string, department_code string, role_title string, "
@@ -113,3 +114,26 @@ def test_a_person_with_many_equal_periods_counts_once(spark):
     assert sorted(got, key=str) == [
         (1, "D", 1, 1, 1, 1, 0, 1), (2, "D", 1, 1, 1, 0, 0, 1), (3, "D", 1, 1, 1, 0, 0, 1),
         (3, None, 0, 1, 1, 0, 0, 0), (4, "D", 1, 1, 1, 0, 0, 1), (4, None, 0, 1, 1, 0, 0, 0)]
+
+
+def test_repeated_months_are_found_without_expanding_single_ranges(spark):
+    """The check of assignment_months tells the same from its ranges, repeated departments and null ids included."""
+    rng = random.Random(5)
+    data = []
+    for i in range(120):
+        began = datetime(2021, 11, 1) + timedelta(days=rng.randrange(200))
+        ended = rng.choice([None, began + timedelta(days=rng.randrange(-20, 90))])
+        data.append((rng.choice([f"A{i}", f"A{i // 2}", None]), "R", rng.choice(["D0", "D1", "X", None]), "Clerk",
+                     "DAY", str(began), None if ended is None else str(ended)))
+    work = assignments(spark, data)
+    departments = spark.createDataFrame([("D0", "Zero", 1, 0), ("D1", "One", 2, 7), ("D1", "Two", 2, 7)], DEPARTMENTS)
+    months = history.assignment_months(work, departments, LO, HI)
+    ranges = history.assignment_ranges(work, departments, LO, HI)
+    found = rows(history.repeated_assignment_months(ranges))
+    assert found and found == rows(quality.repeated(months, ["assignment_id", "month_start"]))
+
+    checks = [c for c in project.all_checks() if c.table == "assignment_months"]
+    tables = {"assignment_months": months, project.RANGES.format("assignment_months"): ranges}
+    assert rows(quality.report(tables, checks)) == rows(quality.report({"assignment_months": months}, checks))
+    text = quality.report(tables, checks)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in text  # no row of the months is copied for the check
